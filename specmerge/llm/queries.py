@@ -35,8 +35,29 @@ FROM keyed LEFT JOIN held USING (k) GROUP BY doc_id
 """
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import scratch
+    from .token_blocks import read_blocks, write_blocks
+
+    path = scratch(spark, "token-blocks")
+    write_blocks(table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
+    return read_blocks(spark, path, with_ids=False)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer=_vocabulary("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing}
 
 
 def oracle_sql() -> dict[str, str]:
