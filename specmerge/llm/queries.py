@@ -56,8 +56,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer=_vocabulary("word_bpe_49k.json"))
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup}
 
 
 def oracle_sql() -> dict[str, str]:
