@@ -150,9 +150,9 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, se
             return pa.RecordBatch.from_arrays(row, ["part", "segment", "part_start", "n_ids", "data"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                some = batch.slice(i, 500)
-                flat, n = with_end(*coder.encode([t or "" for t in some.column(1).to_pylist()]), end_id)
+            for i in range(0, batch.num_rows, 2000):
+                some = batch.slice(i, 2000)
+                flat, n = with_end(*coder.encode(some.column(1)), end_id)
                 doc_ids += some.column(0).to_pylist()
                 sizes += n.tolist()
                 ids.append(flat)

@@ -9,30 +9,22 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_ODD_SPACE = re.compile(r"\s\s|[^\S \n]|[\x1c-\x1f]")
+#: White space of any kind, and the glue, but for single spaces and newlines between other characters.
+_ODD_SPACE = r"[ \n][ \n]|^ | $|[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
 
-
-class _Table(dict):
-    """Word to entry; new words get the next entry and wait in ``new``."""
-
-    def __init__(self, owner):
-        self.owner, self.new = owner, []
-
-    def __missing__(self, word):
-        self[word] = at = self.owner.n
-        self.owner.n += 1
-        self.new.append(word)
-        return at
+#: Begins a chunk that no space comes before.
+GLUE = "\x01"
 
 
 class ChunkEncoder:
     """encode(texts) gives all ids in a row and the number of each text's ids."""
 
-    def __init__(self, path: str, max_entries: int = 250_000, step_chars: int = 4_000_000):
+    def __init__(self, path: str, max_entries: int = 600_000, step_chars: int = 6_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -40,112 +32,137 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.max_entries, self.step_chars = max_entries, step_chars
         vocab = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.size = max(vocab.values()) + 1
+        self.spaced = np.zeros(self.size, bool)
         for token, i in vocab.items():
             self.spaced[i] = token.startswith("Ġ")
         #: Space is part of the token that follows it, or is dropped.
         self.keeps_space = self._ids([" a"])[0].tolist() != self._ids(["a"])[0].tolist()
-        mark = self._ids(["\n" if self.keeps_space else "\x01"])[0]
+        mark = self._ids(["\n" if self.keeps_space else GLUE])[0]
         self.mark = int(mark[0]) if len(mark) == 1 else None
-        self._reset()
+        self._clear()
 
-    def _reset(self) -> None:
-        self.n = 0
-        self.head, self.mid = _Table(self), _Table(self)
+    def _clear(self) -> None:
+        self.table: dict[str, int] = {}
         self.starts, self.sizes, self.flat, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(8192, np.uint32), 0
+        self.hits = np.zeros(1024, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _store(self, entries: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
-        while self.n > len(self.starts):
-            self.starts, self.sizes = np.concatenate([self.starts, np.zeros_like(self.starts)]), np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+    def _store(self, first: int, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Give the entries from first on their ids."""
+        end = first + len(sizes)
+        while end > len(self.starts):
+            self.starts, self.sizes, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes, self.hits))
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.starts[entries] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[entries] = sizes
+        self.starts[first:end] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:end] = sizes
         self.used += len(ids)
 
-    def _joined(self, words: list[str], table: _Table) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, encoded as one text and told apart by a mark that no word holds."""
-        if self.keeps_space and table is self.mid:
-            ids = self._ids([" " + " ".join(words)])[0]
-            begins = np.flatnonzero(self.spaced[ids])
-            return ids, np.diff(np.append(begins, len(ids)))
-        ids = self._ids([("\n" if self.keeps_space else " \x01 ").join(words)])[0]
-        marks = np.flatnonzero(ids == self.mark)
-        return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
-
-    def _learn(self, table: _Table) -> None:
-        words, table.new = table.new, []
-        plain = [w for w in words if w and "\x01" not in w] if self.mark is not None else []
-        for i in range(0, len(plain), 50_000):
-            part = plain[i : i + 50_000]
-            ids, sizes = self._joined(part, table)
-            if len(sizes) != len(part):  # the mark didn't tell them apart: one by one
-                each = self._ids([" " + w if table is self.mid else w for w in part])
-                ids, sizes = np.concatenate(each), np.array([len(x) for x in each])
-            self._store(np.array([table[w] for w in part]), ids, sizes)
-        if rest := [w for w in words if not w or "\x01" in w] if plain or self.mark is not None else words:
-            each = self._ids([" " + w if table is self.mid else w for w in rest])
-            self._store(np.array([table[w] for w in rest]), np.concatenate(each), np.array([len(x) for x in each]))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _chunk(self, word: str) -> str:
+        if not self.keeps_space or word[:1] == "\n":
+            return word
+        return word[1:] if word[:1] == GLUE else " " + word
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, encoded as one text and told apart by how a chunk begins or by a mark between them."""
+        if not self.keeps_space:
+            ids = self._ids([f" {GLUE} ".join(words)])[0]
+            marks = np.flatnonzero(ids == self.mark)
+            return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+        ids = self._ids(["".join(map(self._chunk, words))])[0]
+        begins = np.flatnonzero(self.spaced[ids] | (ids == self.mark))
+        return ids, np.diff(np.append(begins, len(ids)))
+
+    def _learn(self, words: list[str]) -> None:
+        """New entries for words."""
+        odd = [w for w in words if w in ("", "\n") or GLUE in w] if self.mark is not None else words
+        if odd:
+            self._add(odd, *self._single(odd))
+        plain = [w for w in words if w not in self.table]
+        for i in range(0, len(plain), 20_000):
+            part = plain[i : i + 20_000]
+            ids, sizes = self._joined(part)
+            self._add(part, *((ids, sizes) if len(sizes) == len(part) else self._single(part)))
+
+    def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        each = self._ids([self._chunk(w) for w in words])
+        return np.concatenate(each), np.array([len(x) for x in each])
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        first = len(self.table)
+        self._store(first, ids, sizes)
+        self.table.update(zip(words, range(first, first + len(words)), strict=True))
+
+    def _forget(self) -> None:
+        """Keep the chunks that were met more than once, or none if these are too many as well."""
+        old, starts, sizes, flat, hits = self.table, self.starts, self.sizes, self.flat, self.hits
+        self._clear()
+        words = [w for w, at in old.items() if hits[at] > 1]
+        if words and len(words) <= self.max_entries // 2:
+            at = np.array([old[w] for w in words])
+            ids = flat[np.repeat(starts[at] - (np.cumsum(sizes[at]) - sizes[at]), sizes[at]) + np.arange(int(sizes[at].sum()))]
+            self._store(0, ids, sizes[at])
+            self.table = dict(zip(words, range(len(words)), strict=True))
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
         ids, sizes, i = [], [], 0
+        chars = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) if len(texts) else []
         while i < len(texts):
-            j, chars = i, 0
-            while j < len(texts) and (j == i or chars < self.step_chars):
-                chars += len(texts[j])
-                j += 1
-            a, b = self._step(texts[i:j])
+            j = max(i + 1, int(np.searchsorted(chars, (chars[i - 1] if i else 0) + self.step_chars, "right")))
+            a, b = self._step(texts.slice(i, j - i))
             ids.append(a), sizes.append(b)
             i = j
         return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
-    def _step(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.n > self.max_entries:
-            self._reset()
-        entries, counts, head, mid, whole = [], [], self.head.__getitem__, self.mid.__getitem__, []
-        newline = None
-        for text in texts:
-            before = len(entries)
-            if not self.keeps_space:
-                entries.extend(map(head, text.replace("\n", " ").split(" ")))
-            elif _ODD_SPACE.search(text):
-                entries.append(self.n)
-                whole.append((self.n, text))
-                self.n += 1
-            else:
-                lines = text.split("\n")
-                for k, line in enumerate(lines):
-                    if k:
-                        if newline is None:
-                            newline = head("\n") if "\n" in self.head else self._newline()
-                        entries.append(newline)
-                    first, *rest = line.split(" ")
-                    entries.append(head(first))
-                    entries.extend(map(mid, rest))
-            counts.append(len(entries) - before)
-        for table in (self.head, self.mid):
-            if table.new:
-                self._learn(table)
+    def _step(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.table) > self.max_entries:
+            self._forget()
+        whole: list[tuple[int, str]] = []
+        if self.keeps_space:
+            odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
+            whole = [(int(k), texts[int(k)].as_py()) for k in odd]
+            if whole:
+                keep = np.ones(len(texts), bool)
+                keep[odd] = False
+                texts = pc.if_else(pa.array(keep), texts, "")
+            # a chunk that begins a line has its newline; one more newline before the text goes again below
+            texts = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+            texts = pc.replace_substring_regex(texts, "([a-z])([.,]+)( |$)", rf"\1 {GLUE}\2\3")
+        else:
+            # the tokenizer lower-cases, and parts letters from punctuation
+            texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
+            texts = pc.replace_substring_regex(texts, "([a-z])([.,]+) ", r"\1 \2 ")
+        lists = pc.split_pattern(texts, " ")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if new := [w for w in words if w not in self.table]:
+            self._learn(new)
+        own = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+        at = own[coded.indices.to_numpy()]
+        bounds = bounds - bounds[0]
+        self.hits[own] += np.bincount(coded.indices.to_numpy(), minlength=len(own))
         if whole:
-            each = self._ids([t for _, t in whole])
-            self._store(np.array([n for n, _ in whole]), np.concatenate(each), np.array([len(x) for x in each]))
-        at = np.array(entries, np.int64)
+            each = self._ids(["\n"]) + self._ids([t for _, t in whole])
+            each = [np.concatenate([each[0], x]) for x in each[1:]]
+            used, first = self.used, len(self.table)
+            self._store(first, np.concatenate(each), np.array([len(x) for x in each]))
+            at[bounds[[k for k, _ in whole]]] = np.arange(first, first + len(each))
         size = self.sizes[at]
         ends = np.cumsum(size)
         ids = self.flat[np.repeat(self.starts[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        return ids, np.diff(bounds)
-
-    def _newline(self) -> int:
-        self.head["\n"] = at = self.n
-        self.n += 1
-        ids = self._ids(["\n"])[0]
-        self._store(np.array([at]), ids, np.array([len(ids)]))
-        return at
+        if whole:
+            self.used = used  # texts aren't kept
+        marks = np.concatenate([[0], ends])[bounds]
+        if self.keeps_space:
+            return np.delete(ids, marks[:-1]), np.diff(marks) - 1
+        return ids, np.diff(marks)
 
 
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
