@@ -62,9 +62,38 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import judge
+
+    out = judge(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
+), ds AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) > 0
+), bs AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM b WHERE len(w) > 0
+), n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+f AS (SELECT doc_id, item_id, count(*) AS n_found FROM ds JOIN bs USING (g) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+FROM f JOIN n USING (item_id) WHERE n_found / n_shingles >= 0.75
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL}

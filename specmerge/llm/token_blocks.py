@@ -35,10 +35,14 @@ PERCENTILES = (50, 75, 90, 95, 98, 100)
 HEAD = struct.Struct("<4sIIQQ")
 SEGMENT_IDS = 2_000_000
 
+_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
 
 def _bits(x: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
-    return np.frexp(x.astype(np.float64))[1].astype(np.int64)
+    if x.size and int(x.max()) < len(_BITS):
+        return _BITS[x]
+    return np.frexp(x.astype(np.float64))[1].astype(np.uint8)
 
 
 def pack(rows: np.ndarray, width: int) -> np.ndarray:
@@ -72,14 +76,15 @@ def encode_segment(doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray
     rows = rows.reshape(blocks, BLOCK)
     least = rows.min(axis=1) if blocks else np.zeros(0, np.int64)
     rows = rows - least[:, None]
-    order = np.sort(rows, axis=1)
-    widths = np.stack([_bits(order[:, BLOCK * p // 100 - 1]) for p in PERCENTILES])
-    over = np.stack([(_bits(rows) > w[:, None]).sum(axis=1) for w in widths]) if blocks else np.zeros((len(PERCENTILES), 0), np.int64)
+    bits = _bits(rows)
+    order = np.sort(bits, axis=1, kind="stable")
+    widths = np.stack([order[:, BLOCK * p // 100 - 1] for p in PERCENTILES]).astype(np.int64)
+    over = np.stack([(bits > w[:, None]).sum(axis=1) for w in widths.astype(np.uint8)]) if blocks else np.zeros((len(PERCENTILES), 0), np.int64)
     best = np.argmin(widths * BLOCK + over * 40, axis=0)
     width, late = widths[best, np.arange(blocks)], over[best, np.arange(blocks)]
     starts = np.cumsum(width * 8) - width * 8
     words = np.zeros(int((width * 8).sum()), np.uint32)
-    patched = _bits(rows) > width[:, None]
+    patched = bits > width[:, None]
     low = rows & ((np.int64(1) << width) - 1)[:, None]
     for w in np.unique(width[width > 0]):
         which = np.flatnonzero(width == w)
