@@ -128,9 +128,25 @@ FROM e GROUP BY conv_id
 """
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '</?b>', '', 'g'), '<br>', ' ', 'g') AS h FROM pages
+), b AS (
+  SELECT page_id, url, list_transform(string_split_regex(h, '<[^>]*>'), lambda x: trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&#x27;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM a
+), c AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text) AS n_chars FROM c
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op9_chat_format": op9_chat_format}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op9_chat_format": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op7_html_extract": OP7_SQL, "op9_chat_format": OP9_SQL}
