@@ -144,8 +144,14 @@ SELECT page_id, url, text, length(text) AS n_chars FROM c
 """
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ppm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op9_chat_format": op9_chat_format}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
