@@ -347,3 +347,9 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     out = sketched.select("doc_id", "n_shingles", "set_key").join(placed, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame, *, threshold: float = 0.75) -> DataFrame:
+    """The rows of docs whose document stands for its group; rows that repeat its doc_id stay with it."""
+    kept = near_duplicates(docs, threshold=threshold).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")

@@ -35,7 +35,7 @@ FROM keyed LEFT JOIN held USING (k) GROUP BY doc_id
 """
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -46,14 +46,14 @@ def op2_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_blocks import read_blocks, write_blocks
 
     path = scratch(spark, "token-blocks")
-    write_blocks(table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
+    write_blocks(table(spark, sf_dir, "documents"), path, vocabulary_path("byte_bpe_50k.json"))
     return read_blocks(spark, path, with_ids=False)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), tokenizer=_vocabulary("word_bpe_49k.json"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer=vocabulary_path("word_bpe_49k.json"))
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +150,14 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import scan
+
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op5_secret_scan": op5_secret_scan, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
