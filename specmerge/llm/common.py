@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import saved, scratch, shared_dir
+
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "same_id", "saved", "scratch", "shared_dir", "table", "words"]
+
 #: Fixed value: the white space that separates words and is trimmed from lines.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -16,27 +17,6 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share; a temporary one only where the session names none."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not at:
-        at = tempfile.mkdtemp(prefix="specmerge-")
-        spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: lineage ends there, lost executors lose nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
