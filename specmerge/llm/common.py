@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import saved, scratch, shared_dir
 
-__all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "same_id", "saved", "scratch", "shared_dir", "table", "words"]
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "same_id", "saved", "scratch", "shared_dir", "slices", "table", "words"]
 
 #: Fixed value: the white space that separates words and is trimmed from lines.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -17,6 +17,13 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
 
 
+def slices(batches, rows: int = 500):
+    """The batches in parts of at most rows: a worker makes Python objects of one part at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

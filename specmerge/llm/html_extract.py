@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved
+from .common import BROADCAST_BYTES, saved, slices
 
 MIN_PAGES, MIN_SHARE = 3, 0.2
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
@@ -195,7 +195,7 @@ def host_of(url: Column) -> Column:
 
 def _count(batches):
     """(host, hash, n) with the number of the batch's different pages of each subtree; hash 0 counts pages, and page tells copies apart."""
-    for batch in batches:
+    for batch in slices(batches):
         hosts, hashes, pages = [], [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(source)
@@ -230,7 +230,7 @@ def extract(pages: DataFrame) -> DataFrame:
         rows, sent = rows.join(found.groupBy("host").agg(F.collect_list("hash").alias("gone")), "host", "left").select(*rows.columns, "gone"), None
 
     def main(batches):
-        for batch in batches:
+        for batch in slices(batches):
             gone = [sent.value.get(h, ()) for h in batch.column(3).to_pylist()] if sent else [set(x or ()) for x in batch.column(4).to_pylist()]
             texts = [Page(s).text(g) for s, g in zip(batch.column(2).to_pylist(), gone, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

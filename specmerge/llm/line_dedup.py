@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, BROADCAST_BYTES, scratch
+from .common import ASCII_SPACE, BROADCAST_BYTES, scratch, slices
 from .cuckoo import CuckooFilter
 
 REF = "key binary, doc_id bigint"
@@ -98,7 +98,7 @@ class LineIndex:
         names = [f.name for f in schema.fields]
 
         def cut(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 texts, lines, dropped = [], [], []
                 for whole, gone in zip(batch.column(text).to_pylist(), batch.column("__drop").to_pylist(), strict=True):
                     whole = whole or ""
@@ -117,7 +117,7 @@ class LineIndex:
         min_chars = self.min_chars
 
         def extract(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 keys, ids = [], []
                 for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     found = {k for k in line_keys(whole, min_chars) if k}

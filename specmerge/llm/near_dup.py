@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, slices
 from .components import components
 
 REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE = 256, 10, 4, 256, 1_500_000, 128
@@ -59,7 +59,7 @@ _WORDS = _Words()
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles."""
-    if len(_WORDS) > 400_000:
+    if len(_WORDS) > 150_000:
         _WORDS.clear()
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
@@ -312,7 +312,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sketch(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             regs = [registers(s).astype("<u2").tobytes() if len(s) else None for s in sets]
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
@@ -332,7 +332,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     grouped = saved(grouped.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")), "groups")
 
     def sets_of(batches):
-        for batch in batches:
+        for batch in slices(batches):
             values = pa.array([shingles(t).tobytes() for t in batch.column(3).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(4), values], ["grp", "parts", "block", "doc", "values"])
 

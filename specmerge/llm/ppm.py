@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, slices
 
 DEPTH, HEAD, HEAD_BYTES, LANGUAGES, FLUSH = 64, 1 << 18, 40, 7, 400_000
 END = b"\n"
@@ -62,7 +62,7 @@ def _vocabulary(docs: DataFrame, languages: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(np.full(len(n), k, np.int32)), pa.array(n), pa.array(n * (not held))], ["w", "k", "n_all", "n"])
             parts.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for text, held, k in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = parts.setdefault((k, held), _Counts())
                 for w in tokens(text):
@@ -274,7 +274,7 @@ def score_documents(docs: DataFrame, *, held_out=None, head: int = HEAD) -> Data
         table = _Head()
         table.update(zip(words, range(len(words)), strict=True))
         part, at = TaskContext.get().partitionId() << 40, 0
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, text, held in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 said = tokens(text)

@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .forest import Forest
 
 TRAINING = 6000
@@ -163,7 +164,7 @@ def scan(docs: DataFrame, *, forest: Forest | None = None, least: float = 0.5, p
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
 
     def find(batches):
-        for batch in batches:
+        for batch in slices(batches, 2000):
             maybe = pc.fill_null(pc.match_substring_regex(batch.column(1), _MAYBE), False)
             some = batch.filter(maybe)
             found, x = [], []

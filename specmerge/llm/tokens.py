@@ -24,7 +24,7 @@ GLUE = "\x01"
 class ChunkEncoder:
     """encode(texts) gives all ids in a row and the number of each text's ids."""
 
-    def __init__(self, path: str, max_entries: int = 600_000, step_chars: int = 6_000_000):
+    def __init__(self, path: str, max_entries: int = 400_000, step_chars: int = 6_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
