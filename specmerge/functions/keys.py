@@ -66,7 +66,7 @@ def identity_keys(ids: Sequence[Column | str], related: Column, names: Sequence[
     keys = F.array_distinct(F.array_compact(F.concat(F.array(F.coalesce(*filled)), related)))
     keys = F.transform(keys, lambda x: F.concat(F.lit("id:"), x))
     models = [F.when(normalize_model(c) != "", F.concat(F.lit("model:"), normalize_model(c))) for c in names]
-    return F.when(F.size(keys) > 0, keys).otherwise(F.array_compact(F.array(F.coalesce(*models))))
+    return F.when(F.size(keys) > 0, keys).otherwise(F.array_compact(F.array(F.coalesce(*models, F.lit(None).cast("string")))))
 
 
 def kind_identity(parts: Sequence[Column | str], needed: Sequence[Column | str] = ()) -> Column:

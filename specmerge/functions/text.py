@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from ..profiles import phones
 
@@ -94,7 +95,7 @@ def price(c: Column | str) -> Column:
     return F.when(text.rlike(rf"^{NUMBER}$"), text).otherwise("")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc_casefold(texts: pd.Series) -> pd.Series:
     """Compatibility form, case-folded: Spark has no function for either."""
     return texts.str.normalize("NFKC").str.casefold()

@@ -54,13 +54,19 @@ def greedy_match(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     key = F.coalesce(F.nullif(F.col("fuzzy"), F.lit("")), F.concat(F.lit("\0"), F.col("id").cast("string")))
     left, right = (df.select(*SIDE).withColumn("grp", key).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("grp"))) for df in (left, right))
-    both = left.where("n = 1").alias("l").join(right.where("n = 1").alias("r"), "grp")
-    reach = ((F.col("l.exact") != "") & (F.col("l.exact") == F.col("r.exact"))) | ((F.col("r.fuzzy") != "") & (F.col("r.fuzzy") != F.col("r.exact")))
-    plain = both.where(reach & (F.col("l.signature") == F.col("r.signature"))).select(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"))
+    side = lambda df, p: df.where("n = 1").select("grp", *(F.col(c).alias(f"{p}_{c}") for c in SIDE))
+    both = side(left, "l").join(side(right, "r"), "grp")
+    reach = ((F.col("l_exact") != "") & (F.col("l_exact") == F.col("r_exact"))) | ((F.col("r_fuzzy") != "") & (F.col("r_fuzzy") != F.col("r_exact")))
+    plain = both.where(reach & (F.col("l_signature") == F.col("r_signature"))).select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"))
     hard = left.where("n > 1").select("grp").union(right.where("n > 1").select("grp")).distinct()
     left, right = (df.join(hard, "grp", "left_semi").drop("n") for df in (left, right))
     schema = f"left_id {left.schema['id'].dataType.simpleString()}, right_id {right.schema['id'].dataType.simpleString()}"
-    loop = left.groupBy("grp").cogroup(right.groupBy("grp")).applyInPandas(lambda a, b: pd.DataFrame(_greedy(a, b), columns=["left_id", "right_id"]), schema)
+    right = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))  # both sides may come from one table
+
+    def loop_of(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_greedy(a, b.rename(columns=lambda c: c[2:])), columns=["left_id", "right_id"])
+
+    loop = left.groupBy("grp").cogroup(right.groupBy("r_grp")).applyInPandas(loop_of, schema)
     return plain.unionByName(loop)
 
 

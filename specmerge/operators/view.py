@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import first_number, has_positive_value, is_missing
+from ..sources.shared import saved
 
 NO_YEAR = "view"
 
@@ -174,10 +175,35 @@ def page(df: DataFrame, order: Sequence[Column], number: int, size: int, total:
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
-def ranked(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
-    """df with its place in a total order. The order is global, so rows are numbered per range and counted up."""
-    ordered = df.orderBy(*order)
-    return ordered.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+def ranked(df: DataFrame, order: Sequence[Column | Down], name: str = "rank") -> DataFrame:
+    """df with its place, from 1, in a total order.
+
+    Rows are dealt by ranges of the order and numbered within each; the ranges' sizes, one number a task,
+    give where each begins. No task gets all rows.
+    """
+    keys = [f"__o{i}" for i in range(len(order))]
+    plain = [_key(c) for c in order]
+    dealt = df.withColumns(dict(zip(keys, (c for c, _ in plain), strict=True)))
+    by = [F.col(k).desc_nulls_last() if down else F.col(k).asc_nulls_last() for k, (_, down) in zip(keys, plain, strict=True)]
+    dealt = saved(dealt.repartitionByRange(*by).withColumn("__part", F.spark_partition_id()), "ranked")
+    sizes = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).withColumn("key", F.lit(1))
+    before = sizes.withColumn("__before", F.sum("n").over(Window.partitionBy("key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)))
+    place = F.row_number().over(Window.partitionBy("__part").orderBy(*by)) + F.coalesce("__before", F.lit(0))
+    return dealt.join(before.select("__part", "__before"), "__part").withColumn(name, place.cast("long")).drop("__part", "__before", *keys)
+
+
+def _key(c: Column | Down) -> tuple[Column, bool]:
+    """A sort's expression and whether it is descending."""
+    if isinstance(c, Down):
+        return c.column, True
+    return c, False
+
+
+class Down:
+    """A descending key of ranked()."""
+
+    def __init__(self, c: Column | str):
+        self.column = F.col(c) if isinstance(c, str) else c
 
 
 def representatives(df: DataFrame, group: Sequence[str], price: str, row_id: str, highest: bool = False, carry: Sequence[str] = ()) -> DataFrame:
