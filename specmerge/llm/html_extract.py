@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved, slices
+from .common import BROADCAST_BYTES, bounded_batches, saved, slices
 
 MIN_PAGES, MIN_SHARE = 3, 0.2
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
@@ -145,39 +145,23 @@ class Page:
 
     def elements(self) -> set[int]:
         """Hashes of the subtrees that can be a template: with text, and in no article."""
-        filled = set()
-        for e, _ in self.blocks:
-            while e > 0 and e not in filled:
-                filled.add(e)
-                e = self.parent[e]
-        return {self.hash[e] for e in filled if not self._article(e)}
-
-    def _article(self, e: int) -> bool:
-        while e > 0:
-            if self.kind[e] == "article":
-                return True
-            e = self.parent[e]
-        return False
+        own = self._marked(("article",))
+        return {self.hash[e] for e in self._with_text() if not own[e]}
+
+    def _marked(self, kinds: tuple[str, ...]) -> list[bool]:
+        """Whether each element is, or lies in, one of kinds; elements come after their parents."""
+        out = [False] * len(self.parent)
+        for e in range(1, len(out)):
+            out[e] = out[self.parent[e]] or self.kind[e] in kinds
+        return out
 
     def text(self, templates) -> str:
-        root = next((k for k in ("article", "main") if any(self.kind[e] == k for e in self._with_text())), "")
-        out, known = [], {}
-
-        def state(e: int) -> tuple[bool, bool]:
-            """Whether e lies in a root, and whether it is deleted."""
-            if e <= 0:
-                return root == "", False
-            if e not in known:
-                inside, gone = state(self.parent[e])
-                inside |= bool(root) and self.kind[e] == root
-                known[e] = inside, gone or (self.hash[e] in templates and not self._article(e))
-            return known[e]
-
-        for e, text in self.blocks:
-            inside, gone = state(e)
-            if inside and not gone:
-                out.append(text)
-        return "\n".join(out)
+        filled = self._with_text()
+        root = next((k for k in ("article", "main") if any(self.kind[e] == k for e in filled)), "")
+        inside, own, gone = self._marked((root,)) if root else [True] * len(self.parent), self._marked(("article",)), [False] * len(self.parent)
+        for e in range(1, len(gone)):
+            gone[e] = gone[self.parent[e]] or (not own[e] and self.hash[e] in templates)
+        return "\n".join(text for e, text in self.blocks if inside[e] and not gone[e])
 
     def _with_text(self) -> set[int]:
         out: set[int] = set()
@@ -218,6 +202,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html)."""
+    bounded_batches(pages.sparkSession)
     found = saved(templates(pages), "templates")
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars bigint"

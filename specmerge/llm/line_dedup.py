@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, BROADCAST_BYTES, scratch, slices
+from .common import ASCII_SPACE, BROADCAST_BYTES, bounded_batches, scratch, slices
 from .cuckoo import CuckooFilter
 
 REF = "key binary, doc_id bigint"
@@ -57,6 +57,7 @@ class LineIndex:
         self.shards, self.min_chars, self.min_docs = shards, min_chars, min_docs
         self.refs = self.counts = self.filters = None
         self.version = self.room = 0
+        bounded_batches(spark)
 
     def insert(self, docs: DataFrame) -> LineIndex:
         refs = self._refs(docs).distinct()

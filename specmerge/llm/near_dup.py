@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices
+from .common import bounded_batches, saved, slices
 from .components import components
 
 REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE = 256, 10, 4, 256, 1_500_000, 128
@@ -162,7 +162,7 @@ BAND = "key bigint, doc bigint, n bigint, s0 bigint, s1 bigint, whole boolean, l
 LINK = "a bigint, b bigint"
 
 
-def _bands(batches, rows: int):
+def _bands(batches, rows: int, bucket: int):
     """Rows of BAND of each batch: of a bucket with many of its documents one row, marked whole, and links that join the others to it."""
     for batch in batches:
         doc, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -175,7 +175,7 @@ def _bands(batches, rows: int):
         at, key = at[order], key[order]
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         sizes = np.diff(np.append(starts, len(key)))
-        large = np.repeat(sizes > BUCKET, sizes)
+        large = np.repeat(sizes > bucket, sizes)
         head = np.repeat(starts, sizes) == np.arange(len(key))
         send = ~large | head
         yield _band_batch(key[send], doc[at[send]], n[at[send]], sig[at[send]], large[send], False)
@@ -191,7 +191,7 @@ def _band_batch(key, doc, n, sig, whole, link: bool):
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in cols], [c.split()[0] for c in BAND.split(", ")])
 
 
-def _join_buckets(batches, threshold: float):
+def _join_buckets(batches, threshold: float, bucket: int):
     """Links of the documents of each bucket, from rows in order of key; a bucket may go on in the next batch."""
     carry = None
     for batch in batches:
@@ -204,19 +204,19 @@ def _join_buckets(batches, threshold: float):
         if not len(cols[0]):
             continue
         last = int(np.searchsorted(cols[0], cols[0][-1]))
-        if len(cols[0]) - last > 4 * BUCKET:  # a large bucket: join what is here, one row stands for it
-            yield _links(cols, threshold)
+        if len(cols[0]) - last > 4 * bucket:  # a large bucket: join what is here, one row stands for it
+            yield _links(cols, threshold, bucket)
             carry = [c[last : last + 1].copy() for c in cols]
             carry[5][:] = True
             continue
         carry = [c[last:] for c in cols]
         if last:
-            yield _links([c[:last] for c in cols], threshold)
+            yield _links([c[:last] for c in cols], threshold, bucket)
     if carry is not None and len(carry[0]):
-        yield _links(carry, threshold)
+        yield _links(carry, threshold, bucket)
 
 
-def _links(cols: list[np.ndarray], threshold: float):
+def _links(cols: list[np.ndarray], threshold: float, bucket: int):
     key, doc, n, s0, s1, whole = cols
     sig = np.stack([s0, s1], 1).view(np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -230,7 +230,7 @@ def _links(cols: list[np.ndarray], threshold: float):
     a.append(doc[two[ok]]), b.append(doc[two[ok] + 1])
     for s, m in zip(*(x[(sizes > 2) | ((sizes == 2) & marked)].tolist() for x in (starts, sizes)), strict=True):
         mine = doc[s : s + m]
-        if m > BUCKET or whole[s : s + m].any():
+        if m > bucket or whole[s : s + m].any():
             a.append(mine[1:]), b.append(np.full(m - 1, mine[0]))
         else:
             root = np.array(_spanning(m, *_alike(sig[s : s + m], n[s : s + m], threshold)))
@@ -307,8 +307,9 @@ def _confirm_groups(batches, threshold: float):
         yield done()
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROWS, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text)."""
+    bounded_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sketch(batches):
@@ -322,13 +323,13 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     classes = saved(sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")), "classes")
     reps = sketched.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi").select("doc_id", "n_shingles", "regs")
 
-    buckets = reps.mapInArrow(lambda x: _bands(x, rows), BAND).repartition("key").sortWithinPartitions("key")
-    candidates = components(buckets.mapInArrow(lambda x: _join_buckets(x, threshold), LINK))
+    buckets = reps.mapInArrow(lambda x: _bands(x, rows, bucket), BAND).repartition("key").sortWithinPartitions("key")
+    candidates = components(buckets.mapInArrow(lambda x: _join_buckets(x, threshold, bucket), LINK))
 
     # every document of a candidate component, its set once; blocks of a component by their number of shingles
     grouped = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("doc_id"), F.col("root").alias("grp"))
     sizes = grouped.join(classes, grouped.doc_id == classes.rep)
-    parts = sizes.groupBy("grp").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("parts"))
+    parts = sizes.groupBy("grp").agg(F.ceil(F.sum("size") / block).cast("int").alias("parts"))
     grouped = saved(grouped.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")), "groups")
 
     def sets_of(batches):

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import bounded_batches, saved, slices
 from .tokens import encoder, with_end
 
 WINDOW = 4096
@@ -39,13 +39,11 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def encode(batches):
         coder = encoder(tokenizer)
         kind = "<u2" if max(len(coder.spaced), end_id + 1) <= 1 << 16 else "<u4"
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                some = batch.slice(i, 2000)
-                flat, n = with_end(*coder.encode(some.column(1)), end_id)
-                data, ends = memoryview(flat.astype(kind)).cast("B"), np.cumsum(n) * int(kind[2])
-                ids = pa.array([bytes(data[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column(0), ids, pa.array([int(kind[2])] * some.num_rows, pa.int32())], ["doc_id", "ids", "width"])
+        for some in slices(batches, 2000):
+            flat, n = with_end(*coder.encode(some.column(1)), end_id)
+            data, ends = memoryview(flat.astype(kind)).cast("B"), np.cumsum(n) * int(kind[2])
+            ids = pa.array([bytes(data[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([some.column(0), ids, pa.array([int(kind[2])] * some.num_rows, pa.int32())], ["doc_id", "ids", "width"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id bigint, ids binary, width int")
 
@@ -167,6 +165,7 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int = 2, window: int = WIND
 
     tokenizer: path of its file on every machine.
     """
+    bounded_batches(docs.sparkSession)
     tokens = saved(tokenized(docs, tokenizer, end_id), "token-ids")
     found = {r.id: r.n for r in document_frequencies(tokens).collect()}  # a row per id of the vocabulary
     n_docs, n_ids = found.pop(-1, 0) or 0, found.pop(-2, 0) or 0

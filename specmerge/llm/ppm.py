@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices
+from .common import bounded_batches, saved, slices
 
 DEPTH, HEAD, HEAD_BYTES, LANGUAGES, FLUSH = 64, 1 << 18, 40, 7, 400_000
 END = b"\n"
@@ -239,6 +239,7 @@ def score_documents(docs: DataFrame, *, held_out=None, head: int = HEAD) -> Data
     held_out: Column of bool; without one, documents whose crc32(doc_id as text) mod 5 is 1.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     if held_out is None:
         held_out = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")) % 5 == 1
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")

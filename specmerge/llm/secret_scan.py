@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import bounded_batches, slices
 from .forest import Forest
 
 TRAINING = 6000
@@ -160,6 +160,7 @@ def default_forest() -> Forest:
 
 def scan(docs: DataFrame, *, forest: Forest | None = None, least: float = 0.5, path: str | None = None) -> DataFrame:
     """A row per candidate of docs (doc_id, text): its place in code points, kind, value's hash, probability and is_secret. path: name of a column."""
+    bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(forest or default_forest())
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), (F.col(path).cast("string") if path else F.lit(None).cast("string")).alias("path"))
 

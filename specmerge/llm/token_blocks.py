@@ -28,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import bounded_batches, slices
 from .tokens import encoder, with_end
 
 BLOCK = 256
@@ -154,19 +155,18 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, se
             doc_ids.clear(), sizes.clear(), ids.clear()
             return pa.RecordBatch.from_arrays(row, ["part", "segment", "part_start", "n_ids", "data"])
 
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                some = batch.slice(i, 2000)
-                flat, n = with_end(*coder.encode(some.column(1)), end_id)
-                doc_ids += some.column(0).to_pylist()
-                sizes += n.tolist()
-                ids.append(flat)
-                held += len(flat)
-                if held >= segment_ids:
-                    yield flush()
+        for some in slices(batches, 2000):
+            flat, n = with_end(*coder.encode(some.column(1)), end_id)
+            doc_ids += some.column(0).to_pylist()
+            sizes += n.tolist()
+            ids.append(flat)
+            held += len(flat)
+            if held >= segment_ids:
+                yield flush()
         if doc_ids:
             yield flush()
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     rows.mapInArrow(encode, "part bigint, segment bigint, part_start bigint, n_ids bigint, data binary").write.mode("overwrite").parquet(path)
 
