@@ -39,6 +39,14 @@ def dataset_quality(rows: DataFrame, fields: Mapping[str, Column]) -> DataFrame:
     return counts.withColumn("percent", F.when(F.col("n_rows") > 0, F.floor(least * 100 / F.col("n_rows"))).otherwise(0).cast("long"))
 
 
+def is_valid_dataset(rows: DataFrame, fields: Mapping[str, Column], named: Column, *, least_percent: int = 70, between: tuple[int, int] | None = None) -> bool:
+    """Whether rows may be used: the least field's share, a name in every row, and between so many rows if asked."""
+    q = dataset_quality(rows, {**fields, "__name": named}).drop("percent").first()
+    least = min((q[f"n_{k}"] for k in fields), default=0)
+    sized = between is None or between[0] <= q.n_rows <= between[1]
+    return q.n_rows > 0 and sized and q["n___name"] == q.n_rows and least * 100 // q.n_rows >= least_percent
+
+
 def scope(rows: DataFrame, source: Column, brand: Column, only: str, allowed: Sequence[str]) -> DataFrame:
     """rows without those that only one source has and whose brand isn't allowed."""
     return rows.where((source != only) | brand.isin(*allowed))

@@ -149,15 +149,19 @@ def spec_first(values: Column, unit: str = r"[0-9](?:\.[0-9]+)?\s*(?:英寸|mAh|
     return F.array_join(F.concat(F.filter(kept, lambda v: v.rlike(unit)), F.filter(kept, lambda v: ~v.rlike(unit))), "|")
 
 
-def fold_nested_columns(attrs: Column, aliases: Mapping[str, str], sep: str = " - ") -> Column:
-    """View columns: 'Parent - Value' folds into Parent, with Value's name if the cell is a mere yes; aliases fold; ', ' joins distinct values."""
+#: Marks that say no more than yes, and how a column names its parent.
+MARKS = ["支持", "是", "有", "●", "√", "true"]
+NESTED = r"^(.+?)\s+-\s+(\S+.*)$"
+
+
+def fold_nested_columns(attrs: Column, aliases: Mapping[str, str]) -> Column:
+    """View columns: 'Parent - Value' folds into Parent, as Value's name if the cell is a mere mark; aliases fold; ', ' joins distinct values."""
     table = F.create_map(*(F.lit(x) for kv in aliases.items() for x in kv)) if aliases else F.create_map().cast("map<string,string>")
 
     def renamed(e: Column) -> Column:
-        nested = e["key"].contains(sep)
-        parent, name = F.substring_index(e["key"], sep, 1), F.regexp_replace(e["key"], rf"^.*?\Q{sep}\E", "")
-        yes = F.lower(F.trim(e["value"])).isin("是", "支持", "有", "yes", "true", "√", "1")
-        return F.struct(F.when(nested, parent).otherwise(F.coalesce(F.try_element_at(table, e["key"]), e["key"])).alias("field"), F.when(nested & yes, name).otherwise(e["value"]).alias("value"))
+        parent, name = (F.trim(F.regexp_extract(e["key"], "(?U)" + NESTED, k)) for k in (1, 2))
+        mark = F.lower(F.trim(e["value"])).isin(*MARKS)
+        return F.struct(F.when(parent != "", parent).otherwise(F.coalesce(F.try_element_at(table, e["key"]), e["key"])).alias("field"), F.when((parent != "") & mark, name).otherwise(e["value"]).alias("value"))
 
     named = F.filter(F.transform(F.map_entries(attrs), renamed), lambda e: ~is_missing(e["value"]))
     fields = F.array_distinct(F.transform(named, lambda e: e["field"]))

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_number, has_positive_value, is_missing
 from ..sources.shared import saved
-
-NO_YEAR = "view"
+from ..sources.sinks import field_order
+from .normalize import fold_nested_columns, put
 
 
 @dataclass(frozen=True)
@@ -231,6 +231,21 @@ def visible_columns(defaults: Sequence[str], columns: Sequence[str], hidden: Seq
     return [c for c in dict.fromkeys([*(d for d in defaults if d in columns), *columns]) if c not in hidden]
 
 
+def initialise(rows: DataFrame, aliases: Mapping[str, str], defaults: Sequence[str], ord_col: str, *, attrs: str = "attrs", brand: str = "品牌", hidden: Sequence[str] = (), drop_uniform: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
+    """rows with a view's columns, and their order: defaults, then as first seen.
+
+    The brand is filled from 'brand', nested and alias columns fold, hidden columns are left out, and so are
+    those of drop_uniform whose filled cells are all positive.
+    """
+    own = F.try_element_at(F.col(attrs), F.lit(brand))
+    filled = F.when(is_missing(own), F.try_element_at(F.col(attrs), F.lit("brand"))).otherwise(own)
+    base = rows.withColumn(attrs, fold_nested_columns(put(F.col(attrs), {brand: filled}), aliases))
+    cells = base.select(F.explode(attrs).alias("column", "value")).where(F.col("column").isin(*drop_uniform) & (F.col("value") != ""))
+    uniform = [r.column for r in cells.groupBy("column").agg(F.min(has_positive_value("value")).alias("all")).where("all").collect()]
+    shown = visible_columns(defaults, field_order(base, attrs, [], ord_col), [*hidden, *uniform])
+    return base.select(*(c for c in rows.columns if c != attrs), *(F.try_element_at(F.col(attrs), F.lit(c)).alias(c) for c in shown)), shown
+
+
 def run(df: DataFrame, spec: QuerySpec, ord_col: str, n_sources: str | None = None, year: str | None = None) -> DataFrame:
     """Filter, sort and project; visible is empty for all columns."""
     out = filtered(df, spec, year).orderBy(*sort_keys(df, spec.sorts, ord_col, n_sources))

@@ -108,6 +108,19 @@ def dedupe(records: DataFrame, latest: bool = False, ids: Sequence[str] = ("手
     return kept.withColumn("place", F.when(F.col("__key").isNull(), F.col("__ord")).otherwise(F.col("place"))).drop("__key", "__ord", "__n")
 
 
+def read_latest(spark: SparkSession, manifest: str, key: str = "latest", fallback: Sequence[dict[str, str]] = ()) -> DataFrame:
+    """Records of the file that a manifest names, beside it; the fallback rows if either can't be read."""
+    try:
+        row = spark.read.text(manifest, wholetext=True).select(F.get_json_object("value", f"$.{key}").alias("name")).first()
+    except AnalysisException:
+        row = None
+    out = read_records(spark, f"{manifest.rsplit('/', 1)[0]}/{row.name}") if row and row.name else spark.createDataFrame([], RECORD)
+    if out.isEmpty() and fallback:
+        texts = spark.createDataFrame([(i, json.dumps(r, ensure_ascii=False)) for i, r in enumerate(fallback)], "row_ord int, value string")
+        return texts.select(F.lit("").alias("file"), "row_ord", F.from_json("value", "map<string,string>").alias("attrs"))
+    return out
+
+
 def skip_ids(spark: SparkSession, path: str, key: str = "skip_phone_ids") -> DataFrame:
     """id of a list file; no file, or none that can be read, is an empty list."""
     try:

@@ -185,3 +185,17 @@ def test_enrich(spark):
     assert asked.first().samples == [f"m{i}" for i in range(8)] and asked.first().n_rows == 30
     assert enrich.exact_cover(rows, rows, "model").first().valid is False
     assert enrich.exact_cover(cache, cache, "model").first().valid is True
+
+
+def test_dataset_and_view_columns(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "-"), (3, "c", "x")], "id int, name string, v string")
+    fields = {"v": F.col("v") != "-"}
+    assert not guards.is_valid_dataset(df, fields, F.col("name") != "")
+    assert guards.is_valid_dataset(df, fields, F.col("name") != "", least_percent=66)
+    assert not guards.is_valid_dataset(df, fields, F.col("name") != "b", least_percent=60)
+    assert not guards.is_valid_dataset(df, fields, F.col("name") != "", least_percent=60, between=(20, 30))
+    rows = ordered(spark, [{"brand": "vivo", "型号": "X1", "N - 5G": "支持", "蓝牙": "√"}, {"品牌": "小米", "型号": "Y", "机身": "黑", "蓝牙": "有"}])
+    rows = rows.withColumn("ord", F.when(F.col("attrs")["型号"] == "X1", 0).otherwise(1))
+    out, shown = view.initialise(rows, {"机身": "颜色"}, ["型号", "品牌"], "ord", hidden=["brand"], drop_uniform=["蓝牙", "颜色z"])
+    assert shown == ["型号", "品牌", "N", "颜色"]
+    assert sorted((r["品牌"], r["N"], r["颜色"]) for r in out.collect() if r["N"]) == [("vivo", "5G", None)]

@@ -133,3 +133,11 @@ def test_html(spark):
     assert got == ["vivo", "oppo"]
     ranks = html.first_ranks(spark.createDataFrame([(1, ["b", "a", "b"])], "k int, l array<string>"), "k", "l")
     assert {r.item: r.rank for r in ranks.collect()} == {"b": 1, "a": 2}
+
+
+def test_latest_or_fallback(spark, tmp_path):
+    put(tmp_path / "rows.json", [{"a": "1"}])
+    put(tmp_path / "manifest.json", {"latest": "rows.json"})
+    assert records.read_latest(spark, str(tmp_path / "manifest.json")).first().attrs == {"a": "1"}
+    assert records.read_latest(spark, str(tmp_path / "none.json"), fallback=[{"b": "2"}]).first().attrs == {"b": "2"}
+    assert records.read_latest(spark, str(tmp_path / "none.json")).count() == 0
