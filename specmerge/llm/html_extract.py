@@ -41,10 +41,25 @@ BLOCK = frozenset(
 DROPPED = frozenset("nav footer aside form head menu dialog button fieldset".split())
 NAMED = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices popup modal overlay "
-    "sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply replies disqus "
+    "sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer topbar comment comments reply replies disqus "
     "share sharing social related recommended newsletter subscribe subscription widget toolbar pagination pager search login signup contentinfo complementary".split()
 )
 
+#: Parts of longer names, names of a page's head, and words that make a name tell of a layout and not of the element.
+STEMS = re.compile("comment|cookie|advert|sidebar|breadcrumb|newsletter|navbar|navigation|sponsor")
+HEADS = frozenset("header masthead siteheader pageheader".split())
+LAYOUT = frozenset("has with no without".split())
+
+
+def names_of(attributes: str) -> set[str]:
+    """Parts of an element's class, id and role; not those that follow a word of LAYOUT."""
+    out: set[str] = set()
+    for x in _NAMES.findall(attributes):
+        for name in "".join(x).lower().split():
+            parts = _PARTS.findall(name)
+            out.update(p for i, p in enumerate(parts) if i == 0 or parts[i - 1] not in LAYOUT)
+    return out
+
 
 class Page:
     """Elements and text blocks of a page; text in boilerplate elements is left out while parsing."""
@@ -125,12 +140,10 @@ class Page:
                             break
             if tag in VOID or m[3].endswith("/") and tag not in BLOCK:
                 continue
-            names: set[str] = set()
-            if m[3]:
-                for x in _NAMES.findall(m[3]):
-                    names.update(_PARTS.findall("".join(x).lower()))
-            own = tag in ("article", "main") and not names & {"comment", "comments", "reply"}
-            gone = not own and (stack[-1][2] or tag in DROPPED or (tag == "header" and not main) or (bool(names & NAMED) and tag not in ("body", "html")))
+            names = names_of(m[3]) if m[3] else set()
+            named = bool(names & NAMED) or any(map(STEMS.search, names)) or (bool(names & HEADS) and not main)
+            own = tag in ("article", "main") and not any("comment" in x or x == "reply" for x in names)
+            gone = not own and (stack[-1][2] or tag in DROPPED or (tag == "header" and not main) or (named and tag not in ("body", "html")))
             if tag in BLOCK:
                 self.parent.append(stack[-1][1])
                 self.hash.append(0)

@@ -7,8 +7,8 @@ by a newline. A symbol is predicted from the longest context first:
 2. the word's bytes so far (contexts 1 and 2 reach back ``DEPTH`` bytes at most);
 3. the last two bytes, 4. the last byte, 5. no context, 6. all 256 symbols alike.
 
-A context that was seen n times with d different symbols gives a seen symbol c / (n + d) and keeps
-d / (n + d) for escape (method C). On escape, the next context's probabilities hold without the symbols seen
+A context that was seen n times with d different symbols gives a symbol seen c times (2 c - 1) / (2 n) and
+keeps d / (2 n) for escape (method D). On escape, the next context's probabilities hold without the symbols seen
 so far: they are divided by what those leave. A text's language isn't given: its probability is the sum over
 languages of the share of the language's training texts times the text's probability in it.
 
@@ -103,7 +103,7 @@ class Suffixes:
 def mixed(c, n, d, lower, seen_lower):
     """Probability in a context where the symbol was seen c times of n, with d different symbols of lower probability seen_lower."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(n == 0, lower, np.where(c > 0, c / (n + d), d / (n + d) * lower / np.maximum(1 - seen_lower, 1e-12)))
+        return np.where(n == 0, lower, np.where(c > 0, (c - 0.5) / n, d / (2 * n) * lower / np.maximum(1 - seen_lower, 1e-12)))
 
 
 def code(words: list[bytes], counts: np.ndarray, suffixes: Suffixes, begin: int = 0, end: int = DEPTH) -> np.ndarray:

@@ -156,9 +156,22 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
 
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, b FROM reach JOIN l ON a = r)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op5_secret_scan": op5_secret_scan, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op7_html_extract": OP7_SQL, "op9_chat_format": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op7_html_extract": OP7_SQL, "op9_chat_format": OP9_SQL, "op10_near_dup": OP10_SQL}

@@ -19,6 +19,9 @@ from specmerge.llm import html_extract as h
         ("<p>cut <b", "cut <b"),
         ("</div></p>x</article><article>", "x"),
         ("<style>p{}</style><title>t</title><noscript>n</noscript><p>y", "y"),
+        ("<div class='layout has-sidebar'><p>a</p><div class='page-sidebar'>b</div></div>", "a"),
+        ("<article><div class='article-header'><h1>T</h1></div><p>x<ol class='commentlist'><li>c</ol></article><div id='siteHeader'>no</div>", "T\nx"),
+        ("<div class='header'>site</div><p>x<span class='ad'>buy</span> y", "x y"),
         ("<div class='ad'>buy<article><p>kept</p></article></div>", "kept"),
     ],
 )

@@ -42,8 +42,8 @@ def plain_model(rows):
             return prob(keys[1:], symbol)
         n, d = sum(seen.values()), len(seen)
         if symbol in seen:
-            return seen[symbol] / (n + d)
-        return d / (n + d) * prob(keys[1:], symbol) / (1 - sum(prob(keys[1:], x) for x in seen))
+            return (2 * seen[symbol] - 1) / (2 * n)
+        return d / (2 * n) * prob(keys[1:], symbol) / (1 - sum(prob(keys[1:], x) for x in seen))
 
     cache = {}
 
