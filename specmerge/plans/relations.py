@@ -196,6 +196,11 @@ def diff_rows_count(orders):
     return report.counts(_order_diff(orders), "field", "field")
 
 
+def _by_digest(documents: DataFrame) -> DataFrame:
+    """documents with the digest of each text for the text: groups by text then shuffle digests, not texts."""
+    return documents.select("doc_id", "source", "lang", F.length("text").alias("len"), F.sha2("text", 256).alias("text"))
+
+
 SETS = "WITH t AS (SELECT text, list(DISTINCT source ORDER BY source) AS sources, count(*) AS n_rows, min(doc_id) AS first_id FROM documents GROUP BY text)"
 
 
@@ -213,27 +218,28 @@ def status_counts(documents, labels):
 
 @query(f"{SETS} SELECT array_to_string(sources, '+') AS combo, count(*) AS n_rows FROM t GROUP BY 1")
 def source_combos(documents):
-    return report.combos(report.source_sets(documents, ["text"], "source"), F.col("sources"))
+    return report.combos(report.source_sets(_by_digest(documents), ["text"], "source"), F.col("sources"))
 
 
 @query(f"{SETS} SELECT count(*) AS n_rows, count(*) FILTER (WHERE len(sources) > 1) AS n_multi, count(*) FILTER (WHERE len(sources) = 1) AS n_single, round(n_multi * 100.0 / count(*), 2) AS multi_rate, round(n_single * 100.0 / count(*), 2) AS single_rate FROM t")
 def multi_single_rate(documents):
-    return report.multi_single(report.source_sets(documents, ["text"], "source"), F.col("n_sources"))
+    return report.multi_single(report.source_sets(_by_digest(documents), ["text"], "source"), F.col("n_sources"))
 
 
 @query("""WITH f AS (SELECT text, lang, count(DISTINCT source) AS n FROM documents GROUP BY ALL), b AS (SELECT lang, length(text) AS len, count(DISTINCT source) AS nb FROM documents GROUP BY ALL)
 SELECT CASE WHEN n > 1 THEN 'several' WHEN nb > 1 THEN 'gap' ELSE 'only' END AS cause, count(*) AS n_rows FROM f JOIN b ON f.lang = b.lang AND length(f.text) = b.len GROUP BY 1""")
 def identity_cause_split(documents):
     """Texts that one source has: their base, here language and length, may have others."""
-    full = documents.groupBy("text", "lang").agg(F.count_distinct("source").alias("n")).withColumn("len", F.length("text"))
-    base = documents.select("lang", F.length("text").alias("len"), "source").distinct().groupBy("lang", "len").agg(F.count(F.lit(1)).alias("nb"))
+    rows = _by_digest(documents)
+    full = rows.groupBy("text", "lang", "len").agg(F.count_distinct("source").alias("n"))
+    base = rows.select("lang", "len", "source").distinct().groupBy("lang", "len").agg(F.count(F.lit(1)).alias("nb"))
     cause = F.when(F.col("n") > 1, "several").when(F.col("nb") > 1, "gap").otherwise("only")
     return report.counts(full.join(base, ["lang", "len"]), cause, "cause")
 
 
 @query(f"{SETS}, l AS (SELECT unnest(sources) AS source, len(sources) = 1 AS alone FROM t) SELECT source, count(*) AS n_covered, count(*) FILTER (WHERE alone) AS n_alone, round(n_alone * 100.0 / n_covered, 2) AS single_rate FROM l GROUP BY source")
 def per_source_single_rate(documents):
-    return report.per_source_rates(report.source_sets(documents, ["text"], "source"))
+    return report.per_source_rates(report.source_sets(_by_digest(documents), ["text"], "source"))
 
 
 @query("SELECT field, count(*) AS n_rows FROM (SELECT unnest(CASE p_size % 4 WHEN 0 THEN ['屏幕'] WHEN 1 THEN ['屏幕', '电池'] WHEN 2 THEN ['摄像头参数', '内存'] ELSE [] END) AS field FROM part) GROUP BY field")
@@ -321,14 +327,14 @@ def soc_group_propagate(part):
 
 @query("""SELECT source, lang, count(*) AS n_rows, count(DISTINCT text) AS n_texts FROM documents GROUP BY ALL ORDER BY n_rows DESC, source, lang LIMIT 30""")
 def series_sources(documents):
-    groups = documents.groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("text").alias("n_texts"))
+    groups = _by_digest(documents).groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("text").alias("n_texts"))
     return report.top(groups, [F.desc("n_rows"), F.asc("source"), F.asc("lang")], 30)
 
 
 @query("WITH r AS (SELECT text, source || CASE WHEN lang = 'en' THEN '+x' ELSE '' END AS raw FROM documents), k AS (SELECT text, count(DISTINCT raw) AS n FROM r GROUP BY 1) SELECT count(*) AS n_keys, count(*) FILTER (WHERE n = 1) AS n_single, count(*) FILTER (WHERE n > 1) AS n_multi FROM k")
 def raw_source_singles(documents):
     """Distinct raw source texts are counted, so that a lone A+B is a single."""
-    raw = documents.select("text", F.concat("source", F.when(F.col("lang") == "en", "+x").otherwise("")).alias("raw"))
+    raw = _by_digest(documents).select("text", F.concat("source", F.when(F.col("lang") == "en", "+x").otherwise("")).alias("raw"))
     n = raw.groupBy("text").agg(F.count_distinct("raw").alias("n"))
     return n.agg(F.count(F.lit(1)).alias("n_keys"), F.count_if(F.col("n") == 1).alias("n_single"), F.count_if(F.col("n") > 1).alias("n_multi"))
 

@@ -236,9 +236,9 @@ def kind_identity(part, customer):
 @query("""WITH s AS (SELECT text, string_agg(DISTINCT source, '+' ORDER BY source) AS joined, count(DISTINCT source) AS n FROM documents GROUP BY text)
 SELECT md5(text) AS id, n AS n_plus, n AS n_tokens, (contains(joined, 'src0'))::BIGINT + (contains(joined, 'src1'))::BIGINT AS n_known FROM s""")
 def source_token_count(documents):
-    sets = documents.groupBy("text").agg(F.array_join(F.array_sort(F.collect_set("source")), "+").alias("joined"))
+    sets = documents.select(F.md5("text").alias("id"), "source").groupBy("id").agg(F.array_join(F.array_sort(F.collect_set("source")), "+").alias("joined"))
     return sets.select(
-        F.md5("text").alias("id"),
+        "id",
         keys.source_count("joined").cast("long").alias("n_plus"),
         F.size(keys.tokens("joined", r"[,，+、|/]")).cast("long").alias("n_tokens"),
         F.size(keys.known_sources("joined", ["src0", "src1"])).cast("long").alias("n_known"),

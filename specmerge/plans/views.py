@@ -42,7 +42,8 @@ def column_filter_ops(part):
 
 @query("""WITH t AS (SELECT text, count(DISTINCT source) AS n, min(doc_id) AS first_id FROM documents GROUP BY text) SELECT first_id, n, row_number() OVER (ORDER BY n DESC, first_id) AS rank FROM t""")
 def default_source_sort(documents):
-    sets = documents.groupBy("text").agg(F.count_distinct("source").alias("n"), F.min("doc_id").alias("first_id")).drop("text")
+    rows = documents.select("doc_id", "source", F.sha2("text", 256).alias("digest"))
+    sets = rows.groupBy("digest").agg(F.count_distinct("source").alias("n"), F.min("doc_id").alias("first_id")).drop("digest")
     return ranked(sets, [Down("n"), F.col("first_id")])
 
 
