@@ -34,42 +34,54 @@ PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_token
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id and ids (u16 or u32, little-endian) of every whole text, with width in bytes."""
+    """doc_id and ids (little-endian, unsigned, as wide as id_type says) of every whole text."""
 
     def encode(batches):
         coder = encoder(tokenizer)
-        kind = "<u2" if max(len(coder.spaced), end_id + 1) <= 1 << 16 else "<u4"
+        kind = id_type(coder.size, end_id)
         for some in slices(batches, 2000):
             flat, n = with_end(*coder.encode(some.column(1)), end_id)
-            data, ends = memoryview(flat.astype(kind)).cast("B"), np.cumsum(n) * int(kind[2])
-            ids = pa.array([bytes(data[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([some.column(0), ids, pa.array([int(kind[2])] * some.num_rows, pa.int32())], ["doc_id", "ids", "width"])
+            ends = np.concatenate([[0], np.cumsum(n) * kind.itemsize]).astype(np.int32)
+            ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(kind))])
+            yield pa.RecordBatch.from_arrays([some.column(0), ids], ["doc_id", "ids"])
+        coder.rest()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id bigint, ids binary, width int")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id bigint, ids binary")
 
 
-def _terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ordered = np.sort(ids, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[at], np.diff(np.append(at, len(ordered)))
+def id_type(vocabulary: int, end_id: int) -> np.dtype:
+    return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
 
 
-def _decode(batch) -> list[np.ndarray]:
-    return [np.frombuffer(x, f"<u{w}") for x, w in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+def _decode(batch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a batch in a row and the number of each document's."""
+    ids = batch.column(1)
+    at = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, ids.offset * 4)
+    return np.frombuffer(ids.buffers()[2], kind, (at[-1] - at[0]) // kind.itemsize, int(at[0])), np.diff(at) // kind.itemsize
 
 
-def document_frequencies(tokens: DataFrame) -> DataFrame:
+def terms_of(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """document, term and frequency of all terms of some documents, in order of document and term."""
+    wide = np.uint32 if len(sizes) <= 1 << 16 and ids.dtype.itemsize == 2 else np.uint64
+    shift = wide(16 if wide is np.uint32 else 32)
+    keys = np.sort((np.repeat(np.arange(len(sizes), dtype=wide), sizes) << shift) | ids.astype(wide))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    keys, tf = keys[first], np.diff(np.append(first, len(keys)))
+    return (keys >> shift).astype(np.int64), (keys & wide((1 << int(shift)) - 1)).astype(np.int64), tf
+
+
+def document_frequencies(tokens: DataFrame, kind: np.dtype) -> DataFrame:
     """Number of documents of each token id; id -1 holds the number of all documents, -2 that of all ids."""
 
     def count(batches):
         df, docs, total = np.zeros(1 << 16, np.int64), 0, 0
-        for batch in batches:
-            for ids in _decode(batch):
-                terms, _ = _terms(ids)
-                if len(terms) and int(terms[-1]) >= len(df):
-                    df = np.concatenate([df, np.zeros(int(terms[-1]) + 1 - len(df), np.int64)])
-                df[terms] += 1
-                docs, total = docs + 1, total + len(ids)
+        for batch in slices(batches, 2000):
+            ids, sizes = _decode(batch, kind)
+            found = np.bincount(terms_of(ids, sizes)[1])
+            if len(found) > len(df):
+                df = np.concatenate([df, np.zeros(len(found) - len(df), np.int64)])
+            df[: len(found)] += found
+            docs, total = docs + len(sizes), total + len(ids)
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([seen, [-1, -2]])), pa.array(np.concatenate([df[seen], [docs, total]]))], ["id", "n"])
 
@@ -81,28 +93,30 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float, query_terms: int):
         self.docs, self.query_terms = docs, query_terms
-        each = [_terms(d) for d in docs]
-        sizes = np.array([len(t) for t, _ in each])
-        terms = np.concatenate([t for t, _ in each]).astype(np.int64)
-        tf = np.concatenate([c for _, c in each]).astype(np.float64)
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        length = np.array([len(d) for d in docs]) / mean_length
-        weight = (idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner]))).astype(np.float32)
-        self.doc_at, self.doc_terms, self.doc_weight = np.concatenate([[0], np.cumsum(sizes)]), terms, weight
-        order = np.argsort(terms, kind="stable")
+        sizes = np.array([len(d) for d in docs])
+        owner, terms, tf = terms_of(np.concatenate(docs), sizes)
+        weight = (idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * (sizes / mean_length)[owner]))).astype(np.float32)
+        self.doc_at, self.doc_terms, self.doc_weight = np.searchsorted(owner, np.arange(len(docs) + 1)), terms, weight
+        order = np.argsort(terms.astype(np.uint16) if len(idf) <= 1 << 16 else terms, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
         self.at = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(idf)))])
         self.unused = np.ones(len(docs), bool)
 
-    def neighbours(self, seed: int) -> np.ndarray:
+    def neighbours(self, seed: int):
         """Unused documents that share a query term with seed, best first."""
         a, b = self.doc_at[seed], self.doc_at[seed + 1]
         best = np.argsort(-self.doc_weight[a:b], kind="stable")[: self.query_terms]
         spans = [(self.at[t], self.at[t + 1]) for t in self.doc_terms[a:b][best]]
         owner = np.concatenate([self.owner[x:y] for x, y in spans])
         scores = np.bincount(owner, np.concatenate([self.weight[x:y] for x, y in spans]), minlength=len(self.docs))
-        found = np.flatnonzero((scores > 0) & self.unused)
-        return found[np.argsort(-scores[found], kind="stable")]
+        scores *= self.unused
+        found = np.flatnonzero(scores)
+        if len(found) > 128:  # most windows need a few: the others are ordered only if these don't fill it
+            least = np.partition(scores[found], -64)[-64]
+            near = found[scores[found] >= least]
+            yield from near[np.argsort(-scores[near], kind="stable")]
+            found = found[scores[found] < least]
+        yield from found[np.argsort(-scores[found], kind="stable")]
 
     def order(self, window: int):
         """All documents, each window's seed followed by its neighbours."""
@@ -167,7 +181,8 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int = 2, window: int = WIND
     """
     bounded_batches(docs.sparkSession)
     tokens = saved(tokenized(docs, tokenizer, end_id), "token-ids")
-    found = {r.id: r.n for r in document_frequencies(tokens).collect()}  # a row per id of the vocabulary
+    kind = id_type(encoder(tokenizer).size, end_id)
+    found = {r.id: r.n for r in document_frequencies(tokens, kind).collect()}  # a row per id of the vocabulary
     n_docs, n_ids = found.pop(-1, 0) or 0, found.pop(-2, 0) or 0
     idf = np.zeros(max([end_id, *found]) + 1, np.float64)
     for i, n in found.items():
@@ -194,7 +209,8 @@ def pack(docs: DataFrame, *, tokenizer: str, end_id: int = 2, window: int = WIND
 
         held = 0
         for batch in batches:
-            for name, x in zip(batch.column(0).to_pylist(), _decode(batch), strict=True):
+            flat, sizes = _decode(batch, kind)
+            for name, x in zip(batch.column(0).to_pylist(), np.split(flat.copy(), np.cumsum(sizes)[:-1]), strict=True):
                 if held and held + len(x) > shard_tokens:
                     yield flush()
                     held = 0

@@ -165,6 +165,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, se
                 yield flush()
         if doc_ids:
             yield flush()
+        coder.rest()
 
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")

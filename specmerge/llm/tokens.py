@@ -8,6 +8,7 @@ tokenizer whole. Ids of chunks are kept in a table of bounded size.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 
 import numpy as np
@@ -67,26 +68,30 @@ class ChunkEncoder:
             return word
         return word[1:] if word[:1] == GLUE else " " + word
 
-    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, encoded as one text and told apart by how a chunk begins or by a mark between them."""
+    def _joined(self, words: list[str], begin: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, encoded as one text and told apart by how each begins or by a mark between them."""
         if not self.keeps_space:
             ids = self._ids([f" {GLUE} ".join(words)])[0]
             marks = np.flatnonzero(ids == self.mark)
             return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
-        ids = self._ids(["".join(map(self._chunk, words))])[0]
-        begins = np.flatnonzero(self.spaced[ids] | (ids == self.mark))
+        ids = self._ids([begin + begin.join(words)])[0]
+        begins = np.flatnonzero(self.spaced[ids] if begin else ids == self.mark)
         return ids, np.diff(np.append(begins, len(ids)))
 
     def _learn(self, words: list[str]) -> None:
         """New entries for words."""
-        odd = [w for w in words if w in ("", "\n") or GLUE in w] if self.mark is not None else words
-        if odd:
+        if self.mark is None:
+            return self._add(words, *self._single(words))
+        kinds: dict[str, list[str]] = {" ": [], "": [], GLUE: []}
+        for w in words:
+            kinds[GLUE if GLUE in w or w in ("", "\n") else "" if w[0] == "\n" else " "].append(w)
+        if odd := kinds.pop(GLUE):
             self._add(odd, *self._single(odd))
-        plain = [w for w in words if w not in self.table]
-        for i in range(0, len(plain), 20_000):
-            part = plain[i : i + 20_000]
-            ids, sizes = self._joined(part)
-            self._add(part, *((ids, sizes) if len(sizes) == len(part) else self._single(part)))
+        for begin, own in kinds.items():
+            for i in range(0, len(own), 20_000):
+                part = own[i : i + 20_000]
+                ids, sizes = self._joined(part, begin)
+                self._add(part, *((ids, sizes) if len(sizes) == len(part) else self._single(part)))
 
     def _single(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         each = self._ids([self._chunk(w) for w in words])
@@ -97,16 +102,29 @@ class ChunkEncoder:
         self._store(first, ids, sizes)
         self.table.update(zip(words, range(first, first + len(words)), strict=True))
 
-    def _forget(self) -> None:
-        """Keep the chunks that were met more than once, or none if these are too many as well."""
-        old, starts, sizes, flat, hits = self.table, self.starts, self.sizes, self.flat, self.hits
+    def _forget(self, most: int) -> None:
+        """Keep the chunks that were met most often, at most so many, and none that was met once.
+
+        Their strings are made anew after all others have gone, so that the memory of these is given back.
+        """
+        order = np.argsort(-self.hits[: len(self.table)], kind="stable")[:most]
+        chosen = np.zeros(len(self.table), bool)
+        chosen[order[self.hits[order] > 1]] = True
+        words = [w for w, at in self.table.items() if chosen[at] and "\0" not in w]
+        at = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+        size = self.sizes[at]
+        ids = self.flat[np.repeat(self.starts[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        joined, n = "\0".join(words), len(words)
+        del words
         self._clear()
-        words = [w for w, at in old.items() if hits[at] > 1]
-        if words and len(words) <= self.max_entries // 2:
-            at = np.array([old[w] for w in words])
-            ids = flat[np.repeat(starts[at] - (np.cumsum(sizes[at]) - sizes[at]), sizes[at]) + np.arange(int(sizes[at].sum()))]
-            self._store(0, ids, sizes[at])
-            self.table = dict(zip(words, range(len(words)), strict=True))
+        if n:
+            self._add(joined.split("\0"), ids, size)
+
+    def rest(self, most: int = 150_000) -> None:
+        """Be small until the next task."""
+        if len(self.table) > most:
+            self._forget(most)
+        pa.default_memory_pool().release_unused()
 
     def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
@@ -122,7 +140,7 @@ class ChunkEncoder:
 
     def _step(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.table) > self.max_entries:
-            self._forget()
+            self._forget(self.max_entries // 3)
         whole: list[tuple[int, str]] = []
         if self.keeps_space:
             odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
@@ -142,9 +160,11 @@ class ChunkEncoder:
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if new := [w for w in words if w not in self.table]:
+        own = np.fromiter(map(self.table.get, words, itertools.repeat(-1)), np.int64, len(words))
+        if len(missing := np.flatnonzero(own < 0)):
+            new = [words[k] for k in missing.tolist()]
             self._learn(new)
-        own = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+            own[missing] = np.fromiter(map(self.table.__getitem__, new), np.int64, len(new))
         at = own[coded.indices.to_numpy()]
         bounds = bounds - bounds[0]
         self.hits[own] += np.bincount(coded.indices.to_numpy(), minlength=len(own))
