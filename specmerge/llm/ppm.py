@@ -265,10 +265,11 @@ def score_documents(docs: DataFrame, *, held_out=None, head: int = HEAD) -> Data
             break
         least, words = r.n_all, words + r.words
     in_head = short & (F.col("n_all") >= least)
-    rows = scored.where(in_head).select("w", "c", "lp").collect()
-    lp = np.array([r.lp for r in rows] + [[0.0] * languages])
-    c = np.array([r.c for r in rows] + [0])
-    sent = spark.sparkContext.broadcast(([bytes(r.w) for r in rows], np.append(base(c[:-1]), 0.0), (c > 0).astype(np.int64), lp))
+    top = scored.where(in_head).select("w", "c", "lp").toArrow()  # at most head rows of HEAD_BYTES and a few numbers
+    c = np.append(top["c"].to_numpy(), 0).astype(np.int64)
+    lp = np.append(top["lp"].combine_chunks().flatten().to_numpy(zero_copy_only=False), np.zeros(languages)).reshape(-1, languages)
+    sent = spark.sparkContext.broadcast((top["w"].to_pylist(), np.append(base(c[:-1]), 0.0), (c > 0).astype(np.int64), lp))
+    del top
 
     def add(batches):
         words, bases, known, lps = sent.value
