@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.shared import importable
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -18,6 +20,7 @@ def query(sql: str | None = None):
         tables = list(inspect.signature(f).parameters)
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            importable(spark)
             return f(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables))
 
         QUERIES[f.__name__] = run

@@ -1,7 +1,8 @@
-"""The folder that driver and executors share, and tables written there to end a lineage."""
+"""The folder that driver and executors share, tables written there to end a lineage, and the package's place."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -27,3 +28,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder they start in.
+
+    On machines that don't have it there, it must be installed or sent with --py-files.
+    """
+    environment = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
