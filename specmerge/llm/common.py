@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import saved, scratch, shared_dir
+from ..sources.shared import importable, saved, scratch, shared_dir
 
 __all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "bounded_batches", "same_id", "saved", "scratch", "shared_dir", "slices", "table", "words"]
 
@@ -21,11 +21,12 @@ BROADCAST_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let workers get at most BATCH_ROWS rows, and BATCH_BYTES, at a time; smaller settings of the session stay.
+    """Let workers import this package, and get at most BATCH_ROWS rows, and BATCH_BYTES, at a time; smaller settings of the session stay.
 
     Both are settings of the session, read when a query runs. Spark's own, ten thousand rows, are hundreds of
     megabytes of long documents for each worker and the buffers that feed it.
     """
+    importable(spark)
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
         now = _number(spark.conf.get(key))
