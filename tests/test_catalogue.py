@@ -59,7 +59,7 @@ import sys; sys.path.insert(0, {root!r})
 from pyspark.sql import SparkSession
 import __spark_entry__ as e
 spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
-print("rows", e.queries()["validation_equal"](spark, {DIR!r}).count())
+print("rows", e.queries()["validation_equal"](spark, {DIR!r}).collect()[:1])
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
