@@ -1,9 +1,10 @@
 """Fixed values of the phone catalogue profile: field names, tables, and patterns of the data contract.
 
 Fixed values: these must equal the published data's for right results; they are data, in their natural order.
-Operators take them as parameters; nothing outside this module knows the vocabulary.
+Operators take the tables as parameters, with these as defaults.
 """
 
+#: Fixed values, from here to the end of the file.
 FIXED_FIELDS = [
     '数据来源',
     '验证状态',

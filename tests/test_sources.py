@@ -133,6 +133,8 @@ def test_html(spark):
     assert got == ["vivo", "oppo"]
     ranks = html.first_ranks(spark.createDataFrame([(1, ["b", "a", "b"])], "k int, l array<string>"), "k", "l")
     assert {r.item: r.rank for r in ranks.collect()} == {"b": 1, "a": 2}
+    rows = spark.createDataFrame([("x", 0), ("a", 1), ("b", 2), ("y", 3)], "item string, ord int")
+    assert [r.item for r in html.rank_join(rows, ranks.select("item", "rank"), "item", "ord").collect()] == ["b", "a", "x", "y"]
 
 
 def test_latest_or_fallback(spark, tmp_path):
