@@ -47,6 +47,7 @@ class Mapping:
     fields: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
     extra: tuple[str, ...] = ("id", "source")
+    roles: tuple[tuple[str, str], ...] = ()
 
     def paths(self) -> list[str]:
         """All nested schemas that the layout can have."""
@@ -62,7 +63,9 @@ class Mapping:
     def read(self, record: Column) -> Column:
         if self.turns:
             found = F.from_json(record, f"`{self.turns}` array<struct<`{self.role}`:string,`{self.text}`:string>>")[self.turns]
-            return F.transform(found, lambda t: F.struct(F.coalesce(t[self.role], F.lit("")).alias("role"), F.coalesce(t[self.text], F.lit("")).alias("text")))
+            names = F.create_map(*(F.lit(x) for kv in self.roles for x in kv)) if self.roles else F.create_map().cast("map<string,string>")
+            role = lambda t: F.coalesce(F.try_element_at(names, t[self.role]), t[self.role], F.lit(""))
+            return F.transform(found, lambda t: F.struct(role(t).alias("role"), F.coalesce(t[self.text], F.lit("")).alias("text")))
         row = F.from_json(record, ", ".join(f"`{f}` string" for f, _ in self.fields))
         parts: list[tuple[str, list[str]]] = []
         for field, role in self.fields:
@@ -80,16 +83,17 @@ class Mapping:
         return F.array_compact(F.array(*turns))
 
 
+#: Names that one layout gives the roles.
+ROLES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+
 MAPPINGS = (
     Mapping("messages", turns="messages", role="role", text="content"),
-    Mapping("conversations", turns="conversations", role="from", text="value"),
+    Mapping("conversations", turns="conversations", role="from", text="value", roles=ROLES),
     Mapping("instruction", fields=(("system", "system"), ("instruction", "user"), ("input", "+"), ("output", "assistant")), optional=("system", "input")),
     Mapping("prompt", fields=(("system", "system"), ("prompt", "user"), ("completion", "assistant")), optional=("system",)),
     Mapping("response", fields=(("system", "system"), ("prompt", "user"), ("response", "assistant")), optional=("system",)),
     Mapping("question", fields=(("question", "user"), ("answer", "assistant"))),
 )
-#: Names that layouts give the three roles.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "prompter": "user"}
 
 
 def fingerprint(record: Column) -> Column:
@@ -107,8 +111,7 @@ def canonical(df: DataFrame, record: str = "record", mappings: tuple[Mapping, ..
     turns = F.lit(None).cast(TURNS)
     for m in mappings:
         turns = F.when(F.col("mapping") == m.name, m.read(F.col(record))).otherwise(turns)
-    role = F.create_map(*(F.lit(x) for kv in ROLES.items() for x in kv))
-    return df.withColumn("turns", F.transform(turns, lambda t: F.struct(F.coalesce(F.try_element_at(role, t["role"]), t["role"]).alias("role"), t["text"].alias("text"))))
+    return df.withColumn("turns", turns)
 
 
 def escape(text: Column) -> Column:
