@@ -65,8 +65,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("w")).where("item_id is not null and size(w) > 0")
     items = with_shingles(items).select("item_id", F.array_distinct("g").alias("g")).withColumn("class", _class_of(F.size("g")))
     items = saved(items, "items")
-    small = _fits(items, 1024)
-    hint = F.broadcast if small else (lambda df: df)
+    total = items.agg(F.sum(F.size("g"))).first()[0] or 0
+    hint = F.broadcast if 40 * total <= BROADCAST_BYTES else (lambda df: df)  # item, class and hash of each shingle
     # one value of the sketch per row; the classes that occur, a number that grows with the log of the longest item
     keys = items.select("item_id", "class", F.explode(_sketch(F.col("g"))).alias("value")).distinct()
     classes = sorted(r[0] for r in items.select("class").distinct().collect())
