@@ -18,9 +18,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Paths that this process made, for clean().
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete the scratch tables that this process made, and return how many; DataFrames that read them are void then."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -199,3 +199,15 @@ def test_dataset_and_view_columns(spark):
     out, shown = view.initialise(rows, {"机身": "颜色"}, ["型号", "品牌"], "ord", hidden=["brand"], drop_uniform=["蓝牙", "颜色z"])
     assert shown == ["型号", "品牌", "N", "颜色"]
     assert sorted((r["品牌"], r["N"], r["颜色"]) for r in out.collect() if r["N"]) == [("vivo", "5G", None)]
+
+
+def test_scratch_tables_are_cleaned(spark):
+    from pyspark.errors import AnalysisException
+
+    from specmerge.sources import shared
+
+    kept = shared.saved(spark.range(3), "three")
+    assert kept.count() == 3 and kept.inputFiles()[0].startswith("file:")
+    assert shared.clean(spark) >= 1 and shared.clean(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(kept.inputFiles()[0].rsplit("/", 1)[0]).count()
