@@ -45,8 +45,8 @@ FORMATS = (
     ("long_run", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{20,300}={0,2}"),
 )
 _FIND = [(kind, re.compile(p)) for kind, p in FORMATS]
-#: What every candidate has, in the dialect of Arrow's regular expressions.
-_MAYBE = r"-----BEGIN|AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|AIza|eyJ|[spr]k[-_]|[0-9][A-Za-z+/_-]{0,19}[A-Za-z0-9+/_-]{14}|[A-Za-z0-9+/_-]{14}[0-9]|(?i:key|token|secret|passwd|password|pwd|auth|credential|bearer)[\w.-]*[\"']?\s*(?::=|=>|[=:\s])"
+#: What every candidate has, in the dialect of Arrow's regular expressions, where \w and \s are ASCII: names and runs of letters are enough.
+_MAYBE = r"-----BEGIN|AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|AIza|eyJ|[spr]k[-_]|[A-Za-z0-9+/_-]{20}|(?i:key|token|secret|passwd|password|pwd|auth|credential|bearer)"
 TELLING = "key token secret password passwd pwd auth credential bearer api access private client login export env config".split()
 OTHER = "commit sha sha1 sha256 sha512 md5 hash checksum digest integrity uuid guid id version revision build image data fixture cache etag blob tree parent".split()
 COMMON = (

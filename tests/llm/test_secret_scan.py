@@ -58,3 +58,17 @@ def test_own_findings(spark):
 
 def test_empty(spark):
     assert s.scan(corpus.empty(spark)).count() == 0
+
+
+def test_prefilter_passes_bare_tokens_of_any_digits():
+    import random
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng, alnum = random.Random(9), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = ["abcdefghij1klmnopqrs", "see token\u00a0= hunter2hunter2", "schl\u00fcssel keyt\u00e9 = hunter2hunter2"]
+    texts += ["of the " + "".join(rng.choices(alnum, k=n)) + " and" for n in range(20, 28) for _ in range(2000)]
+    maybe = pc.match_substring_regex(pa.array(texts), s._MAYBE).to_pylist()
+    assert all(s.candidates(t) for t in texts[:3])
+    assert not [t for t, m in zip(texts, maybe) if s.candidates(t) and not m]
