@@ -6,7 +6,7 @@ much of it a dictionary covers, what its path says, and words near it. The fores
 labelled findings (text, begin, end, path, label): by default ``labelled_findings``, a generated set of
 ``TRAINING`` findings, or a table of them, of which a bounded sample is used.
 
-Scanning is one pass without a shuffle over whole texts; the forest's size is bounded by its trees and
+Values are matched, measured and hashed whole, however long. Scanning is one pass without a shuffle over whole texts; the forest's size is bounded by its trees and
 depth. Findings carry the place and hash of a value, not the value.
 
 Defined cases: null and empty texts have no findings; a null doc_id or path is kept as null; repeated rows
@@ -35,16 +35,17 @@ from .forest import Forest
 TRAINING = 6000
 #: Formats that providers document, names of secrets, and words that tell other strings.
 FORMATS = (
-    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]{1,20000}?-----END [A-Z ]*PRIVATE KEY-----"),
+    ("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]+?-----END [A-Z ]*PRIVATE KEY-----"),
     ("access_key_id", r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"),
-    ("forge_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,255}|glpat-[A-Za-z0-9_-]{20,64})"),
-    ("chat_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,200}"),
-    ("api_key", r"\b(?:sk|pk|rk)[-_](?:live[-_]|test[-_]|proj-)?[A-Za-z0-9_-]{20,200}|\bAIza[0-9A-Za-z_-]{35}"),
-    ("web_token", r"\beyJ[A-Za-z0-9_-]{8,4000}\.eyJ[A-Za-z0-9_-]{8,8000}\.[A-Za-z0-9_-]{8,4000}"),
-    ("assigned", r"""(?i:[\w.-]{0,40}(?:key|token|secret|passwd|password|pwd|auth|credential|bearer)[\w.-]{0,40})["']?(?:\s{0,3}(?::=|=>|[=:])\s{0,3}|\s)["'`]?(?P<value>[^\s"'`,;<>(){}\[\]]{8,300})"""),
-    ("long_run", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[0-9+/_-]{0,200}[A-Za-z])[A-Za-z0-9+/_-]{20,300}={0,2}"),
+    ("forge_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}+|glpat-[A-Za-z0-9_-]{20,}+)"),
+    ("chat_token", r"\bxox[abprs]-[A-Za-z0-9-]{10,}+"),
+    ("api_key", r"\b(?:sk|pk|rk)[-_](?:live[-_]|test[-_]|proj-)?[A-Za-z0-9_-]{20,}+|\bAIza[0-9A-Za-z_-]{35}"),
+    ("web_token", r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8})[A-Za-z0-9_-]*?\b(?P<value>eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"),
+    ("assigned", r"""(?i:[\w.-]{0,40}(?:key|token|secret|passwd|password|pwd|auth|credential|bearer)[\w.-]{0,40})["']?(?:\s{0,3}(?::=|=>|[=:])\s{0,3}|\s)["'`]?(?P<value>[^\s"'`,;<>(){}\[\]]{8,}+)"""),
+    ("long_run", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}"),
 )
 _FIND = [(kind, re.compile(p)) for kind, p in FORMATS]
+_KEY_END = re.compile("-----END [A-Z ]*PRIVATE KEY-----")
 #: What every candidate has, in the dialect of Arrow's regular expressions, where \w and \s are ASCII: names and runs of letters are enough.
 _MAYBE = r"-----BEGIN|AKIA|ASIA|gh[pousr]_|glpat-|xox[abprs]-|AIza|eyJ|[spr]k[-_]|[A-Za-z0-9+/_-]{20}|(?i:key|token|secret|passwd|password|pwd|auth|credential|bearer)"
 TELLING = "key token secret password passwd pwd auth credential bearer api access private client login export env config".split()
@@ -66,9 +67,11 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, kind) of candidates that don't overlap, in order."""
     taken: list[tuple[int, int, str]] = []
     for kind, pattern in _FIND:
-        for m in pattern.finditer(text):
+        # a key is looked for up to the last end of one, so that every beginning has an end and is read once
+        last = max((m.end() for m in _KEY_END.finditer(text)), default=0) if kind == "private_key" else len(text)
+        for m in pattern.finditer(text, 0, last):
             begin, end = m.span("value") if "value" in pattern.groupindex else m.span()
-            if kind == "assigned" and not re.search(r"[0-9]|[A-Z].*[a-z]|[^A-Za-z]", text[begin:end]):
+            if kind == "assigned" and not re.search(r"[^A-Za-z]|^[a-z]*+[A-Z]++[a-z]", text[begin:end]):
                 continue
             if all(end <= a or begin >= b for a, b, _ in taken):
                 taken.append((begin, end, kind))
