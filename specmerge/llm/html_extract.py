@@ -3,9 +3,10 @@
 Pass 1 parses every page into its block elements, hashes each element's subtree (tags and text) and counts,
 for each host, on how many different pages a subtree occurs; copies of a page count once. Pass 2 parses
 again and deletes, besides elements that are boilerplate by name, subtrees that occur on at least
-``MIN_PAGES`` and a ``MIN_SHARE`` of the different pages of that host. What an <article> holds is the page's own and is
-never deleted as a template; a page with articles consists of these, one with a <main> of that, any
-other of its body.
+``MIN_PAGES`` and a ``MIN_SHARE`` of the different pages of that host. A page with articles consists of these, one
+with a <main> of that, any other of its body. Subtrees inside an <article> are counted apart, on how many
+different articles they occur, and deleted if these are ``OWN_PAGES`` and an ``OWN_SHARE`` of the host's pages;
+a page whose article would lose more than half of its text by that, a near copy of others, keeps it whole.
 
 Only counts are shuffled, summed per task before; a hot host is spread by subtree. The deleted
 hashes are broadcast if they are within BROADCAST_BYTES, and else joined to the pages by host.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_BYTES, bounded_batches, saved, slices
 
-MIN_PAGES, MIN_SHARE = 3, 0.2
+MIN_PAGES, MIN_SHARE, OWN_PAGES, OWN_SHARE = 3, 0.2, 5, 0.5
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[a-z0-9]+")
@@ -156,10 +157,10 @@ class Page:
         close(1)
         flush()
 
-    def elements(self) -> set[int]:
-        """Hashes of the subtrees that can be a template: with text, and in no article."""
-        own = self._marked(("article",))
-        return {self.hash[e] for e in self._with_text() if not own[e]}
+    def elements(self) -> tuple[set[int], set[int]]:
+        """Hashes of the subtrees that can be a template: with text, in no article; and the complements of those in one, without the article's own."""
+        own, filled = self._marked(("article",)), self._with_text()
+        return {self.hash[e] for e in filled if not own[e]}, {~self.hash[e] for e in filled if own[e] and self.kind[e] != "article"}
 
     def _marked(self, kinds: tuple[str, ...]) -> list[bool]:
         """Whether each element is, or lies in, one of kinds; elements come after their parents."""
@@ -172,9 +173,14 @@ class Page:
         filled = self._with_text()
         root = next((k for k in ("article", "main") if any(self.kind[e] == k for e in filled)), "")
         inside, own, gone = self._marked((root,)) if root else [True] * len(self.parent), self._marked(("article",)), [False] * len(self.parent)
+        shared = [False] * len(self.parent)
         for e in range(1, len(gone)):
             gone[e] = gone[self.parent[e]] or (not own[e] and self.hash[e] in templates)
-        return "\n".join(text for e, text in self.blocks if inside[e] and not gone[e])
+            shared[e] = shared[self.parent[e]] or (own[e] and self.kind[e] != "article" and ~self.hash[e] in templates)
+        kept = [(e, text) for e, text in self.blocks if inside[e] and not gone[e]]
+        rest = [text for e, text in kept if not shared[e]]
+        whole = 2 * sum(map(len, rest)) < sum(len(text) for _, text in kept)
+        return "\n".join(text for _, text in kept) if whole else "\n".join(rest)
 
     def _with_text(self) -> set[int]:
         out: set[int] = set()
@@ -191,16 +197,18 @@ def host_of(url: Column) -> Column:
 
 
 def _count(batches):
-    """(host, hash, n) with the number of the batch's different pages of each subtree; hash 0 counts pages, and page tells copies apart."""
+    """(host, hash, page) of each subtree; hash 0 counts pages, hashes below 0 are of subtrees in articles, and page tells copies apart."""
     for batch in slices(batches):
         hosts, hashes, pages = [], [], []
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             page = Page(source)
             body = xxhash.xxh64_intdigest("\n".join(t for _, t in page.blocks)) >> 1
-            found = page.elements()
-            hosts += [host] * (len(found) + 1)
-            hashes += [0, *found]
-            pages += [body] * (len(found) + 1)
+            own = page._marked(("article",))
+            article = xxhash.xxh64_intdigest("\n".join(t for e, t in page.blocks if own[e])) >> 1
+            found, inner = page.elements()
+            hosts += [host] * (len(found) + len(inner) + 1)
+            hashes += [0, *found, *inner]
+            pages += [body] * (len(found) + 1) + [article] * len(inner)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64())], ["host", "hash", "page"])
 
 
@@ -210,7 +218,9 @@ def templates(pages: DataFrame) -> DataFrame:
     counts = seen.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     counts = saved(counts.where((F.col("n") >= MIN_PAGES) | (F.col("hash") == 0)), "subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    return counts.where("hash <> 0").join(total, "host").where(F.col("n") >= MIN_SHARE * F.col("pages")).select("host", "hash")
+    outside = (F.col("hash") > 0) & (F.col("n") >= MIN_SHARE * F.col("pages"))
+    inside = (F.col("hash") < 0) & (F.col("n") >= OWN_PAGES) & (F.col("n") >= OWN_SHARE * F.col("pages"))
+    return counts.where("hash <> 0").join(total, "host").where(outside | inside).select("host", "hash")
 
 
 def extract(pages: DataFrame) -> DataFrame:

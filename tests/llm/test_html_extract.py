@@ -59,3 +59,15 @@ def test_long_and_hostile_pages():
 
 def test_empty(spark):
     assert h.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_templates_inside_articles(spark):
+    """A notice without a telling name in most articles of a host goes; a rarer one, copies' and near copies' text stay."""
+    own = lambda i: f"<p>Story number {i} has a long text of its own, told in many words.</p>"
+    rows = [(i, "https://a.example.com/", f"<article>{own(i)}<div><p>Tell a friend</p></div>{'<p>Now and then</p>' if i < 4 else ''}</article>") for i in range(12)]
+    rows += [(100 + i, "https://b.example.com/", f"<p>{i}</p><article>{own(0)}<p>Copied</p></article>") for i in range(9)]
+    rows += [(200 + i, "https://c.example.com/", f"<article>{own(0)}<p>{i}</p></article>") for i in range(9)]
+    got = {r.page_id: r.text for r in h.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    story = "Story number {} has a long text of its own, told in many words."
+    assert [got[i] for i in range(12)] == [story.format(i) + ("\nNow and then" if i < 4 else "") for i in range(12)]
+    assert got[103] == story.format(0) + "\nCopied" and got[203] == story.format(0) + "\n3"
