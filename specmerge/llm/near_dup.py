@@ -7,7 +7,8 @@ Empty buckets take the register of the first filled bucket on a fixed random wal
 1. Documents with equal sets form a class; its smallest doc_id stands for it.
 2. Bands of ``ROWS`` registers are hashed. In each bucket of equal bands, documents are joined whose Jaccard
    estimate is within five standard deviations of the threshold or above it. The estimate comes from one bit
-   of each of 128 registers, corrected for the half of the bits that agree by chance. Buckets of more than
+   of each of 128 registers, corrected for the half of the bits that agree by chance. The registers of a set of
+   few shingles are copies of each other, so that no estimate rejects a pair with fewer than ``SMALL``. Buckets of more than
    ``BUCKET`` documents are joined whole. A map task sends at most BUCKET documents of a bucket to the
    shuffle: more are joined on the spot, and one stands for them.
 3. The connected components of these candidates hold every pair that shares a band. Only their documents'
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, saved, slices
 from .components import components
 
-REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE = 256, 10, 4, 256, 1_500_000, 128
+REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE, SMALL = 256, 10, 4, 256, 1_500_000, 128, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -152,7 +153,7 @@ def _alike(sig: np.ndarray, n: np.ndarray, threshold: float) -> tuple[np.ndarray
     """Pairs whose sizes and signatures allow the threshold."""
     least = _margin(threshold, SIGNATURE, 0.5)
     apart = np.bitwise_count(sig[:, None, :] ^ sig[None, :, :]).sum(axis=2)
-    ok = estimate(SIGNATURE - apart.astype(np.float64), SIGNATURE, 0.5) >= least
+    ok = (estimate(SIGNATURE - apart.astype(np.float64), SIGNATURE, 0.5) >= least) | (np.minimum(n[:, None], n[None, :]) < SMALL)
     ok &= np.minimum(n[:, None], n[None, :]) >= threshold * np.maximum(n[:, None], n[None, :])
     return np.nonzero(np.triu(ok, 1))
 
@@ -225,7 +226,7 @@ def _links(cols: list[np.ndarray], threshold: float, bucket: int):
     a, b = [], []
     two = starts[(sizes == 2) & ~marked]
     apart = np.bitwise_count(sig[two] ^ sig[two + 1]).sum(axis=1)
-    ok = estimate(SIGNATURE - apart.astype(np.float64), SIGNATURE, 0.5) >= _margin(threshold, SIGNATURE, 0.5)
+    ok = (estimate(SIGNATURE - apart.astype(np.float64), SIGNATURE, 0.5) >= _margin(threshold, SIGNATURE, 0.5)) | (np.minimum(n[two], n[two + 1]) < SMALL)
     ok &= np.minimum(n[two], n[two + 1]) >= threshold * np.maximum(n[two], n[two + 1])
     a.append(doc[two[ok]]), b.append(doc[two[ok] + 1])
     for s, m in zip(*(x[(sizes > 2) | ((sizes == 2) & marked)].tolist() for x in (starts, sizes)), strict=True):
@@ -263,7 +264,7 @@ def confirm(docs: np.ndarray, blocks: np.ndarray, sets: list[np.ndarray], regs:
         if not len(left):
             continue
         left = left[np.minimum(sizes[left], sizes[u]) * 10_000 >= parts * np.maximum(sizes[left], sizes[u])]
-        left = left[estimate((regs[left] == regs[u]).sum(axis=1)) >= least] if len(left) else left
+        left = left[(estimate((regs[left] == regs[u]).sum(axis=1)) >= least) | (np.minimum(sizes[left], sizes[u]) < SMALL)] if len(left) else left
         if not len(left):
             continue
         mine = ids[ends[u] - sizes[u] : ends[u]]

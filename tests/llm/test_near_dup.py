@@ -93,3 +93,33 @@ def test_registers_of_tiny_sets():
 
 def test_empty(spark):
     assert near_dup.near_duplicates(corpus.empty(spark)).count() == 0
+
+
+def tiny_pairs(n, words):
+    """(a, b): the shingles of n texts of words different words and of the same texts without the last word."""
+    return [tuple(near_dup.shingles(" ".join(f"t{i}x{k}" for k in range(m))) for m in (words, words - 1)) for i in range(n)]
+
+
+def test_no_tiny_pair_is_lost_to_estimates():
+    """8 words against their first 7 have 3 of 4 shingles in common, the threshold itself."""
+    for words in (8, 10, 16):
+        pairs = tiny_pairs(1500, words)
+        regs = np.stack([near_dup.registers(s) for p in pairs for s in p])
+        n, sig = np.array([len(s) for p in pairs for s in p]), near_dup._signature(regs)
+        keys = near_dup._band_keys(regs, near_dup.ROWS)
+        for i, p in enumerate(pairs):
+            two = slice(2 * i, 2 * i + 2)
+            assert (keys[2 * i] == keys[2 * i + 1]).any()
+            assert len(near_dup._alike(sig[two], n[two], 0.75)[0]) == 1
+            assert len(near_dup.confirm(np.array([0, 1]), np.zeros(2, int), list(p), regs[two], 0.75)[0]) == 1
+        cols = [np.repeat(np.arange(len(pairs)), 2), np.arange(len(n)), n, *sig.view(np.int64).T, np.zeros(len(n), bool)]
+        assert near_dup._links(cols, 0.75, near_dup.BUCKET).num_rows == len(pairs)
+
+
+def test_tiny_pairs_are_linked(spark):
+    rows = []
+    for i in range(400):
+        w = [f"t{i}x{k}" for k in range(8)]
+        rows += [(2 * i, " ".join(w), "", "", 1, "", 1, ""), (2 * i + 1, " ".join(w[:7]), "", "", 1, "", 1, "")]
+    got = result(near_dup.near_duplicates(spark.createDataFrame(rows, corpus.SCHEMA).repartition(4)))
+    assert [c for _, _, c in got] == [2 * (i // 2) for i in range(800)]
