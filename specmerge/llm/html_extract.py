@@ -3,7 +3,7 @@
 Pass 1 parses every page into its block elements, hashes each element's subtree (tags and text) and counts,
 for each host, on how many different pages a subtree occurs; copies of a page count once. Pass 2 parses
 again and deletes, besides elements that are boilerplate by name, subtrees that occur on at least
-``MIN_PAGES`` and a ``MIN_SHARE`` of the different pages of that host. A page with articles consists of these, one
+``MIN_PAGES`` and a ``MIN_SHARE`` of the different pages of that host, or on ``MANY_PAGES`` of a large host. A page with articles consists of these, one
 with a <main> of that, any other of its body. Subtrees inside an <article> are counted apart, on how many
 different articles they occur, and deleted if these are ``OWN_PAGES`` and an ``OWN_SHARE`` of the host's pages;
 a page whose article would lose more than half of its text by that, a near copy of others, keeps it whole.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_BYTES, bounded_batches, saved, slices
 
-MIN_PAGES, MIN_SHARE, OWN_PAGES, OWN_SHARE = 3, 0.2, 5, 0.5
+MIN_PAGES, MIN_SHARE, MANY_PAGES, OWN_PAGES, OWN_SHARE = 3, 0.2, 100, 5, 0.5
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PARTS = re.compile(r"[a-z0-9]+")
@@ -218,7 +218,7 @@ def templates(pages: DataFrame) -> DataFrame:
     counts = seen.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     counts = saved(counts.where((F.col("n") >= MIN_PAGES) | (F.col("hash") == 0)), "subtrees")
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
-    outside = (F.col("hash") > 0) & (F.col("n") >= MIN_SHARE * F.col("pages"))
+    outside = (F.col("hash") > 0) & ((F.col("n") >= MIN_SHARE * F.col("pages")) | (F.col("n") >= MANY_PAGES))
     inside = (F.col("hash") < 0) & (F.col("n") >= OWN_PAGES) & (F.col("n") >= OWN_SHARE * F.col("pages"))
     return counts.where("hash <> 0").join(total, "host").where(outside | inside).select("host", "hash")
 

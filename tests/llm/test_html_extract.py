@@ -71,3 +71,9 @@ def test_templates_inside_articles(spark):
     story = "Story number {} has a long text of its own, told in many words."
     assert [got[i] for i in range(12)] == [story.format(i) + ("\nNow and then" if i < 4 else "") for i in range(12)]
     assert got[103] == story.format(0) + "\nCopied" and got[203] == story.format(0) + "\n3"
+
+
+def test_templates_of_a_section_of_a_large_host(spark):
+    rows = [(i, "https://a.example.com/", f"<div><p>Story number {i}.</p>{'<div><p>Only in this section</p></div>' if i < 110 else '<div><p>Rare</p></div>' if i < 150 else ''}</div>") for i in range(700)]
+    got = {r.page_id: r.text for r in h.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert got[0] == "Story number 0." and got[120] == "Story number 120.\nRare" and got[500] == "Story number 500."
