@@ -60,6 +60,10 @@ def _battery(a: Column, b: Column) -> list[tuple[Column, Column]]:
     return [(meet(*sets), F.lit(True)), (within(*values, 0.01), F.lit(True)), (one, removable[0] == removable[1])]
 
 
+def _camera(a: Column, b: Column) -> list[tuple[Column, Column]]:
+    return [(meet(found(a, r"(?U)[0-9]+\s*万像素"), found(b, r"(?U)[0-9]+\s*万像素")), F.lit(True))]
+
+
 def _screen(a: Column, b: Column) -> list[tuple[Column, Column]]:
     size = [found(x, r"(?U)[0-9]+(?:\.[0-9]+)?\s*英寸") for x in (a, b)]
     material = [found(x, phones.SCREEN_MATERIAL) for x in (a, b)]
@@ -89,14 +93,16 @@ def _processor(a: Column, b: Column) -> list[tuple[Column, Column]]:
     return [((core[0] != "") & (core[1] != "") & (core[0].contains(core[1]) | core[1].contains(core[0])), F.lit(True))]
 
 
-def compatible(field: Column, left: Column, right: Column) -> Column:
-    """Rules in order, the first that holds decides; raw texts are compared, so that 256GB isn't 256 GB."""
+def compatible(field: Column | str, left: Column, right: Column) -> Column:
+    """Rules in order, the first that holds decides; raw texts are compared, so that 256GB isn't 256 GB. Of a field that is named only its rules are planned."""
     a, b = F.coalesce(left, F.lit("")), F.coalesce(right, F.lit(""))
     rules = [(meet(found(a, r"(?iU)[0-9]+\s*[GT]B"), found(b, r"(?iU)[0-9]+\s*[GT]B")), F.lit(True)), *_battery(a, b)]
     rules.append((meet(found(a, r"(?U)[0-9]+(?:\.[0-9]+)?\s*英寸"), found(b, r"(?U)[0-9]+(?:\.[0-9]+)?\s*英寸")), F.lit(True)))
-    rules.append(((field == "摄像头参数") & meet(found(a, r"(?U)[0-9]+\s*万像素"), found(b, r"(?U)[0-9]+\s*万像素")), F.lit(True)))
-    for name, more in (("屏幕", _screen), ("上市时间", _release), ("处理器", _processor)):
-        rules += [((field == name) & when, then) for when, then in more(a, b)]
+    for name, more in (("摄像头参数", _camera), ("屏幕", _screen), ("上市时间", _release), ("处理器", _processor)):
+        if isinstance(field, Column):
+            rules += [((field == name) & when, then) for when, then in more(a, b)]
+        elif field == name:
+            rules += more(a, b)
     out = F.lit(False)
     for when, then in reversed(rules):
         out = F.when(F.coalesce(when, F.lit(False)), then).otherwise(out)
@@ -105,13 +111,14 @@ def compatible(field: Column, left: Column, right: Column) -> Column:
 
 def same_value(field: Column | str, left: Column | str, right: Column | str) -> Column:
     """Whether two sources' values of a field agree."""
-    field = field if isinstance(field, Column) else F.lit(field)
     left, right = col(left), col(right)
     a, b = normalized(left), normalized(right)
-    # dates are found before white space goes, as it parts the numbers
-    dates = [_loose_date(F.replace(strip_residue(strip(nfkc_casefold(x))), F.lit("纠错"), F.lit(""))) for x in (left, right)]
-    is_date = (field == "上市时间") & dates[0]["y"].isNotNull() & dates[1]["y"].isNotNull()
-    equal = F.when(is_date, (dates[0] == dates[1]) | same_granularity(*dates)).otherwise(a == b)
+    equal = a == b
+    if isinstance(field, Column) or field == "上市时间":
+        # dates are found before white space goes, as it parts the numbers
+        dates = [_loose_date(F.replace(strip_residue(strip(nfkc_casefold(x))), F.lit("纠错"), F.lit(""))) for x in (left, right)]
+        is_date = dates[0]["y"].isNotNull() & dates[1]["y"].isNotNull()
+        equal = F.when(is_date & (field == "上市时间" if isinstance(field, Column) else F.lit(True)), (dates[0] == dates[1]) | same_granularity(*dates)).otherwise(equal)
     return F.coalesce(equal, F.lit(False)) | compatible(field, left, right)
 
 

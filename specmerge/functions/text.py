@@ -96,11 +96,16 @@ def price(c: Column | str) -> Column:
 
 
 @pandas_udf(StringType())
-def nfkc_casefold(texts: pd.Series) -> pd.Series:
-    """Compatibility form, case-folded: Spark has no function for either."""
+def _nfkc_casefold(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKC").str.casefold()
 
 
+def nfkc_casefold(c: Column | str) -> Column:
+    """Compatibility form, case-folded: Spark has no function for either. ASCII texts, of which both are lower case, go to no worker."""
+    ascii_only = col(c).rlike(r"\A[\x00-\x7F]*\z")
+    return F.when(ascii_only, F.lower(col(c))).otherwise(_nfkc_casefold(F.when(~ascii_only, col(c))))
+
+
 def normalize_model(c: Column | str) -> Column:
     return F.regexp_replace(strip(nfkc_casefold(col(c))), r"(?U)\s+", " ")
 
@@ -143,6 +148,23 @@ def resolve_url(base: Column | str, link: Column | str) -> Column:
     return out.when(link.startswith("/"), F.concat(root, link)).otherwise(F.concat(folder, F.lit("/"), link))
 
 
+def redact_url(c: Column | str) -> Column:
+    """Scheme and host of a url, the rest hidden; '<invalid-url>' without a host."""
+    found = F.regexp_extract(F.coalesce(strip(c), F.lit("")), r"^([a-zA-Z][a-zA-Z0-9+.-]*)?://([^/?#]+)", 0)
+    return F.when(found == "", "<invalid-url>").otherwise(F.concat(found, F.lit("/***")))
+
+
+def encode_base64(c: Column | str) -> Column:
+    """A text's UTF-8 bytes in one line of base64."""
+    return F.regexp_replace(F.base64(F.encode(col(c), "utf-8")), r"\s", "")
+
+
+def decode_base64(c: Column | str) -> Column:
+    """The text of base64 with white space anywhere; null if it isn't base64 of UTF-8."""
+    clean = F.regexp_replace(col(c), r"\s", "")
+    return F.try_validate_utf8(F.try_to_binary(clean, F.lit("base64")).cast("string"))
+
+
 def allowed_url(c: Column | str, host: str, path_end: str) -> Column:
     return (url_host(c) == host) & F.regexp_extract(col(c), r"^[^?#]*", 0).endswith(path_end)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import saved
+
 
 def unique_pairs(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str) -> DataFrame:
     """key and the two ids where the key is once on either side. Both sides are counted before they meet."""
@@ -23,24 +25,25 @@ SIDE = ["id", "exact", "fuzzy", "signature", "ord"]
 
 
 def _greedy(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple]:
-    """Pairs of one fuzzy group: each left row takes the only free right row of its signature, by exact key first."""
-    left = left.assign(signature=[tuple(s) for s in left["signature"]]).sort_values(["exact", "signature", "ord"])
-    right = right.assign(signature=[tuple(s) for s in right["signature"]]).sort_values(["exact", "signature", "ord"])
-    by_exact: dict[str, list] = {}
-    by_fuzzy: list = []
-    for r in right.itertuples():
+    """Pairs of one fuzzy group: each left row takes the only free right row of its signature, by exact key first.
+
+    Free right rows are held by signature, and by exact key and signature: a left row costs two look-ups.
+    """
+    by_exact: dict[tuple, list] = {}
+    by_fuzzy: dict[tuple, list] = {}
+    for r in right.assign(signature=[tuple(s) for s in right["signature"]]).sort_values(["exact", "signature", "ord"]).itertuples():
         if r.exact:
-            by_exact.setdefault(r.exact, []).append(r)
+            by_exact.setdefault((r.exact, r.signature), []).append(r)
         if r.fuzzy and r.fuzzy != r.exact:
-            by_fuzzy.append(r)
-    used, out = set(), []
-    for row in left.itertuples():
-        for options in (by_exact.get(row.exact, []), by_fuzzy):
-            free = [r for r in options if (r.exact, r.signature, r.id) not in used]
-            fit = [r for r in free if r.signature == row.signature]
-            if len(fit) == 1:
-                used.add((fit[0].exact, fit[0].signature, fit[0].id))
-                out.append((row.id, fit[0].id))
+            by_fuzzy.setdefault(r.signature, []).append(r)
+    out = []
+    for row in left.assign(signature=[tuple(s) for s in left["signature"]]).sort_values(["exact", "signature", "ord"]).itertuples():
+        for free in (by_exact.get((row.exact, row.signature), []), by_fuzzy.get(row.signature, [])):
+            if len(free) == 1:
+                r = free[0]
+                for held in (by_exact.get((r.exact, r.signature), []), by_fuzzy.get(r.signature, [])):
+                    held[:] = [x for x in held if x.id != r.id]
+                out.append((row.id, r.id))
                 break
     return out
 
@@ -48,25 +51,26 @@ def _greedy(left: pd.DataFrame, right: pd.DataFrame) -> list[tuple]:
 def greedy_match(left: DataFrame, right: DataFrame) -> DataFrame:
     """left_id, right_id of two tables with SIDE columns, matched in order.
 
-    The fuzzy key is a function of the exact key, so that all rows that can meet share it. Where a fuzzy key
-    has one row on each side, the pair is decided by expressions; only the other keys go to the loop, a group
-    per fuzzy key.
+    Rows meet only within a fuzzy key and a signature, so that these make the groups. Where a group has one row
+    on each side, the pair is decided by expressions; of the others only those with rows on both sides go to the loop.
+    Both sides are saved, as long expressions make their keys, and groups are counted by aggregation.
     """
     key = F.coalesce(F.nullif(F.col("fuzzy"), F.lit("")), F.concat(F.lit("\0"), F.col("id").cast("string")))
-    left, right = (df.select(*SIDE).withColumn("grp", key).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("grp"))) for df in (left, right))
-    side = lambda df, p: df.where("n = 1").select("grp", *(F.col(c).alias(f"{p}_{c}") for c in SIDE))
-    both = side(left, "l").join(side(right, "r"), "grp")
-    reach = ((F.col("l_exact") != "") & (F.col("l_exact") == F.col("r_exact"))) | ((F.col("r_fuzzy") != "") & (F.col("r_fuzzy") != F.col("r_exact")))
-    plain = both.where(reach & (F.col("l_signature") == F.col("r_signature"))).select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"))
-    hard = left.where("n > 1").select("grp").union(right.where("n > 1").select("grp")).distinct()
-    left, right = (df.join(hard, "grp", "left_semi").drop("n") for df in (left, right))
+    left, right = (saved(df.select(*SIDE).withColumn("grp", key), "keyed") for df in (left, right))
+    by = ["grp", "signature"]
+    count = lambda df, name: df.groupBy(*by).agg(F.count(F.lit(1)).alias(name), F.min(F.struct("id", "exact", "fuzzy")).alias(name[2:]))
+    groups = saved(count(left, "n_l").join(count(right, "n_r"), by), "groups")
+    reach = ((F.col("l.exact") != "") & (F.col("l.exact") == F.col("r.exact"))) | ((F.col("r.fuzzy") != "") & (F.col("r.fuzzy") != F.col("r.exact")))
+    plain = groups.where((F.col("n_l") == 1) & (F.col("n_r") == 1) & reach).select(F.col("l.id").alias("left_id"), F.col("r.id").alias("right_id"))
+    hard = groups.where("n_l > 1 or n_r > 1").select(*by)
     schema = f"left_id {left.schema['id'].dataType.simpleString()}, right_id {right.schema['id'].dataType.simpleString()}"
+    left, right = (df.join(hard, by, "left_semi") for df in (left, right))
     right = right.select(*(F.col(c).alias(f"r_{c}") for c in right.columns))  # both sides may come from one table
 
     def loop_of(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(_greedy(a, b.rename(columns=lambda c: c[2:])), columns=["left_id", "right_id"])
 
-    loop = left.groupBy("grp").cogroup(right.groupBy("r_grp")).applyInPandas(loop_of, schema)
+    loop = left.groupBy(*by).cogroup(right.groupBy("r_grp", "r_signature")).applyInPandas(loop_of, schema)
     return plain.unionByName(loop)
 
 
@@ -105,24 +109,49 @@ def append_rules(base: DataFrame, extra: DataFrame) -> DataFrame:
 def unmatched(extra: DataFrame, matched: DataFrame, identity: Column, ord_col: str = "ord") -> DataFrame:
     """Rows of extra without a match, the first of each identity; rows without an identity all stay."""
     rest = extra.join(matched.select(F.col("extra_id").alias("id")), "id", "left_anti").withColumn("__id", F.nullif(identity, F.lit("")))
-    first = F.row_number().over(Window.partitionBy("__id").orderBy(ord_col, "id"))
-    return rest.withColumn("__n", first).where("__id is null or __n = 1").drop("__id", "__n")
+    first = keep(rest.where("__id is not null"), ["__id"], [ord_col, "id"])
+    return first.unionByName(rest.where("__id is null")).drop("__id")
 
 
 def keep(rows: DataFrame, key: list[str], order: list, last: bool = False) -> DataFrame:
-    """The first, or last, row of each key by order."""
-    by = [F.col(c).desc() if last else F.col(c).asc() for c in order]
-    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(*by))).where("__n = 1").drop("__n")
+    """The first, or last, row of each key by order: an aggregation, so that a hot key is a row per task."""
+    best = (F.max_by if last else F.min_by)(F.struct(*rows.columns), F.struct(*order))
+    return rows.groupBy(*(F.col(k).alias(f"__{k}") for k in key)).agg(best.alias("__row")).select("__row.*")
 
 
 def upsert(previous: DataFrame, fresh: DataFrame, key: list[str], ord_col: str) -> DataFrame:
     """previous and fresh, the last row of each key at the place of the first; ord_col orders all rows and becomes that place."""
     rows = previous.withColumn("__side", F.lit(0)).unionByName(fresh.withColumn("__side", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(*key)
-    rows = rows.withColumn("__first", F.min(F.struct("__side", ord_col)).over(w)).withColumn("__n", F.row_number().over(w.orderBy(F.desc("__side"), F.desc(ord_col))))
-    return rows.where("__n = 1").withColumn(ord_col, F.col(f"__first.{ord_col}")).drop("__side", "__first", "__n")
+    at = F.struct("__side", ord_col)
+    out = rows.groupBy(*(F.col(k).alias(f"__{k}") for k in key)).agg(F.max_by(F.struct(*rows.columns), at).alias("__row"), F.min(at)[ord_col].alias("__first"))
+    return out.select(*(F.col("__first").alias(c) if c == ord_col else F.col("__row")[c].alias(c) for c in rows.columns if c != "__side"))
 
 
 def merge_ids(*lists: Column) -> Column:
     """Sorted distinct ids of arrays, joined by '|'."""
     return F.array_join(F.array_sort(F.array_distinct(F.filter(F.concat(*lists), lambda x: x.isNotNull() & (x != "")))), "|")
+
+
+def similar_sets(left: DataFrame, right: DataFrame, left_id: str, right_id: str, least: float) -> DataFrame:
+    """The two ids, common and jaccard of all pairs of sets (arrays ``w`` of distinct words) that are at least so similar; least is above 0.
+
+    Prefix filtering: in any one order of words, two such sets share a word among the first
+    n - ceil(least * n) + 1 of each. The order here is by the number of right sets that hold a word, rarest first, so that the
+    commonest are compared last or never; words of no right set come before all and match nothing. Only pairs of
+    sizes that allow ``least`` meet, and each is counted once, on whole sets.
+    """
+    often = right.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("f"))
+
+    def prefixes(df: DataFrame, i: str) -> DataFrame:
+        known = df.select(i, F.size("w").alias("n"), F.explode("w").alias("t")).join(often, "t").groupBy(i, "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("k"))
+        first = F.col("n") - F.ceil(F.lit(least) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("k"))
+        return known.where(first > 0).select(i, F.col("n").alias(f"n_{i}"), F.transform("k", lambda x: x["t"]).alias(f"k_{i}"), first.cast("int").alias("first"))
+
+    a, b = saved(prefixes(left, left_id), "prefixes"), saved(prefixes(right, right_id), "prefixes")
+    tip = lambda df, i: df.select(i, f"n_{i}", F.explode(F.slice(f"k_{i}", F.lit(1), F.col("first"))).alias("t"))
+    na, nb = F.col(f"n_{left_id}"), F.col(f"n_{right_id}")
+    pairs = tip(a, left_id).join(tip(b, right_id), "t").where((F.least(na, nb) >= least * F.greatest(na, nb) - 1e-9)).select(left_id, right_id).distinct()
+    both = pairs.join(a.drop("first"), left_id).join(b.drop("first"), right_id)
+    both = both.withColumn("common", F.size(F.array_intersect(f"k_{left_id}", f"k_{right_id}")).cast("long"))
+    share = F.col("common") / (na + nb - F.col("common"))
+    return both.where(share >= least).select(left_id, right_id, "common", share.alias("jaccard"))

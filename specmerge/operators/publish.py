@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_spec_value, strip_residue
+from ..profiles import phones
+from .normalize import fold_aliases
+
 
 def missing_keys(baseline: DataFrame, candidate: DataFrame, key: str = "key") -> DataFrame:
     """Distinct keys of baseline that candidate has not."""
@@ -29,40 +32,34 @@ def attach_by_config(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
     return loose.join(first, "config").groupBy("id").agg(F.array_sort(F.collect_set(F.substr("key", F.lit(4)))).alias("attached"))
 
 
-def _cover(rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows that are kept of one group: in rank order, those with a key that no earlier kept row has."""
-    seen: set[str] = set()
-    out = []
-    for r in rows.sort_values(["rank_sources", "rank_keys", "ord"], ascending=[False, False, True]).itertuples():
-        if not set(r.open) <= seen:
-            seen |= set(r.open)
-            out.append(r.id)
-    return pd.DataFrame({"id": out})
-
-
-def preserve(baseline: DataFrame, candidate: DataFrame, components) -> DataFrame:
-    """Ids of the baseline rows that must stay: some key is covered neither by candidate nor by a row that is kept before it.
+def preserve(baseline: DataFrame, candidate: DataFrame) -> DataFrame:
+    """Ids of the baseline rows that must stay, by the order of most sources, most keys, ord: those with a key that neither candidate nor a row kept before has.
 
     Both: id, keys array<string>, config, n_sources, ord. Rows whose config key the candidate has are replaced
-    by it. Order matters only among rows that share keys; rows with keys of their own are decided by
-    expressions, and each group of rows linked by keys goes to the loop as one. components: a function from
-    links (a, b) to (node, root).
+    by it. The first row of a key finds it uncovered and stays, and all later ones find it covered: a row stays
+    if, and only if, it is the first of one of its keys. So this order needs no loop, only the least row of each key.
     """
     covered = candidate.select(F.explode("keys").alias("key")).distinct()
-    config = candidate.select("config").distinct()
-    rows = baseline.join(config, "config", "left_anti").withColumn("rank_keys", F.size("keys"))
-    keys = rows.select("id", F.explode("keys").alias("key")).join(covered, "key", "left_anti")
-    w = Window.partitionBy("key")
-    keys = keys.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("least", F.min("id").over(w))
-    shared = keys.where("n > 1").select("id").distinct()
-    alone = keys.join(shared, "id", "left_anti").select("id").distinct()
-    links = keys.where("n > 1 and id <> least").select(F.col("id").alias("a"), F.col("least").alias("b"))
-    roots = components(links)
-    grouped = keys.join(shared, "id", "left_semi").groupBy("id").agg(F.collect_set("key").alias("open"))
-    grouped = grouped.join(roots, grouped.id == roots.node, "left").select("id", "open", F.coalesce("root", "id").alias("grp"))
-    grouped = grouped.join(rows.select("id", F.col("n_sources").alias("rank_sources"), "rank_keys", "ord"), "id")
-    kept = grouped.groupBy("grp").applyInPandas(_cover, f"id {baseline.schema['id'].dataType.simpleString()}")
-    return alone.unionByName(kept)
+    rows = baseline.join(candidate.select("config").distinct(), "config", "left_anti")
+    keys = rows.select("id", (-F.col("n_sources")).alias("a"), (-F.size("keys")).alias("b"), "ord", F.explode("keys").alias("key"))
+    first = keys.join(covered, "key", "left_anti").groupBy("key").agg(F.min_by("id", F.struct("a", "b", "ord", "id")).alias("id"))
+    return first.select("id").distinct()
+
+
+def published(candidate: DataFrame, kept: DataFrame, diff_field: str = "交叉验证差异", *, only_if_kept: bool = False) -> DataFrame:
+    """candidate and the kept baseline rows (attrs map<string,string> and equal other columns), cleaned as they are written.
+
+    Audited headers fold, capacity fields lose marketing copy, and the text of differences loses page residue.
+    only_if_kept leaves candidate as it is where nothing was kept, as a publisher does that rewrites its files only then.
+    """
+    at = lambda k: F.try_element_at(F.col("attrs"), F.lit(k))
+    rows = candidate.unionByName(kept, allowMissingColumns=True).withColumn("attrs", fold_aliases(F.col("attrs")))
+    diff = F.when(at(diff_field) == "-", "-").otherwise(strip_residue(at(diff_field)))
+    cells = {**{f: clean_spec_value(f, at(f)) for f in phones.SPEC_COPY}, diff_field: diff}
+    names = F.create_map(*(x for k, v in cells.items() for x in (F.lit(k), v)))
+    clean = F.transform_values("attrs", lambda k, v: F.when(k.isin(*cells), F.try_element_at(names, k)).otherwise(v))
+    rows = rows.withColumn("attrs", clean)
+    return candidate if only_if_kept and kept.isEmpty() else rows
 
 
 def require_rows(rows: DataFrame, least: int = 10) -> DataFrame:

@@ -82,6 +82,13 @@ def flags(rows: DataFrame, preds: Mapping[str, Column]) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), *(F.count_if(p).alias(k) for k, p in preds.items()))
 
 
+def success_rate(rows: DataFrame, good: str, bad: str) -> DataFrame:
+    """One row: n_rows, n_usable (more successes than failures), total_good, total_bad and rate in per cent, null if there were no tries."""
+    total = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(good) > F.col(bad)).alias("n_usable"), F.coalesce(F.sum(good), F.lit(0)).alias("total_good"), F.coalesce(F.sum(bad), F.lit(0)).alias("total_bad"))
+    tries = F.col("total_good") + F.col("total_bad")
+    return total.withColumn("rate", F.when(tries > 0, F.round(F.col("total_good") * 100.0 / tries, 1)))
+
+
 def field_diff(left: DataFrame, right: DataFrame, key: str, fields: Sequence[str], ord_col: str, missing: Sequence[str] = ("-",)) -> DataFrame:
     """key, field, left_value, right_value where both sides have different values; of a key's right rows the last counts."""
     last = right.groupBy(key).agg(*(F.max_by(f, ord_col).alias(f"r_{f}") for f in fields))

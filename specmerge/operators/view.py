@@ -11,7 +11,7 @@ from __future__ import annotations
 import functools
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +74,34 @@ class QuerySpec:
         )
 
 
+#: Cards that a view shows at first.
+FIRST_CARDS = 24
+
+
+def signature(spec: QuerySpec) -> str:
+    """What a view's rows and order depend on; the visible columns don't count."""
+    return replace(spec, visible=()).to_json()
+
+
+@dataclass(frozen=True)
+class ViewState:
+    """How much of a view is shown; it begins anew with any change of filters or sorting."""
+
+    signature: str = ""
+    limit: int = FIRST_CARDS
+    expanded: frozenset[str] = frozenset()
+
+    def synced(self, spec: QuerySpec) -> ViewState:
+        now = signature(spec)
+        return self if now == self.signature else ViewState(now)
+
+    def more(self, step: int = FIRST_CARDS) -> ViewState:
+        return replace(self, limit=self.limit + step)
+
+    def toggled(self, group: str) -> ViewState:
+        return replace(self, expanded=self.expanded ^ {group})
+
+
 def default_spec(config: Mapping, known: Sequence[str]) -> QuerySpec:
     """Specification of a view configuration: conditions that are on by default, and visible columns, or else the first 18."""
     on = [c for c in config.get("conditions", ()) if c.get("defaultEnabled")]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import capacity, keys
 from ..operators import agree, enrich, match, publish, report
-from ..operators.graph import components
 from ..operators.view import Down, ranked
 from ..profiles import phones
 from ..sources.shared import saved
@@ -288,7 +287,30 @@ def superset_missing(customer, orders):
 def preserve_baseline(customer, orders):
     """Customers as a baseline with one key each: those that the candidate lacks stay."""
     as_rows = lambda df: df.select(F.col("c_custkey").alias("id"), F.array(F.concat(F.lit("id:"), F.col("c_custkey").cast("string"))).alias("keys"), F.concat(F.lit("spu:"), F.col("c_custkey").cast("string")).alias("config"), F.lit(1).alias("n_sources"), F.col("c_custkey").alias("ord"))
-    return publish.preserve(as_rows(customer), as_rows(_candidate(orders)), components).select(F.col("id").alias("c_custkey"))
+    return publish.preserve(as_rows(customer), as_rows(_candidate(orders))).select(F.col("id").alias("c_custkey"))
+
+
+@query("""WITH k AS (SELECT o_orderkey AS id, o_custkey % 200 AS a, extract(doy FROM o_orderdate) AS b, o_totalprice AS p FROM orders WHERE o_orderpriority <> '1-URGENT'),
+c AS (SELECT DISTINCT o_custkey % 200 AS a, extract(doy FROM o_orderdate) AS b FROM orders WHERE o_orderpriority = '1-URGENT'),
+e AS (SELECT id, p, 'a' || a AS key FROM k WHERE a NOT IN (SELECT a FROM c WHERE a % 3 = 0) UNION ALL SELECT id, p, 'b' || b FROM k WHERE b NOT IN (SELECT b FROM c WHERE b % 3 = 0))
+SELECT DISTINCT arg_max(id, (p, -id)) AS o_orderkey FROM e GROUP BY key""")
+def preserve_shared_keys(orders):
+    """Orders as a baseline whose rows share two kinds of keys, by price; urgent ones are the candidate that covers some."""
+    kinds = [F.concat(F.lit("a"), (F.col("o_custkey") % 200).cast("string")), F.concat(F.lit("b"), F.dayofyear("o_orderdate").cast("string"))]
+    rows = orders.select(F.col("o_orderkey").alias("id"), F.array(*kinds).alias("keys"), F.col("o_orderkey").cast("string").alias("config"), F.col("o_totalprice").alias("n_sources"), F.col("o_orderkey").alias("ord"), "o_orderpriority")
+    urgent = rows.where("o_orderpriority = '1-URGENT'")
+    known = urgent.withColumn("keys", F.filter("keys", lambda k: F.substr(k, F.lit(2)).cast("int") % 3 == 0))
+    return publish.preserve(rows.where("o_orderpriority <> '1-URGENT'"), known).select(F.col("id").alias("o_orderkey"))
+
+
+@query("""WITH s AS (SELECT p_partkey AS id, p_name AS f, p_size % 3 AS sig, p_brand AS e FROM part WHERE p_size % 3 < 2),
+l AS (SELECT *, row_number() OVER (PARTITION BY f, sig ORDER BY e, id) AS k FROM s WHERE id % 5 > 0),
+r AS (SELECT f, sig, min(id) AS id, count(*) AS n FROM s WHERE id % 5 = 0 GROUP BY ALL)
+SELECT l.id AS left_id, r.id AS right_id FROM l JOIN r USING (f, sig) WHERE n = 1 AND k = 1""")
+def greedy_contention(part):
+    """Left rows contend for the right row that is alone in its fuzzy key and signature: the first in order of exact key and place has it."""
+    rows = part.where("p_size % 3 < 2").select(F.col("p_partkey").alias("id"), F.concat("p_name", F.lit("#"), "p_brand").alias("exact"), F.col("p_name").alias("fuzzy"), F.array((F.col("p_size") % 3).cast("string")).alias("signature"), F.col("p_partkey").alias("ord"))
+    return match.greedy_match(rows.where("id % 5 > 0"), rows.where("id % 5 = 0").withColumn("exact", F.concat("exact", F.lit("-"))))
 
 
 @query(f"""WITH c AS (SELECT min(c_custkey) AS id, c_nationkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM {OLD}) GROUP BY c_nationkey),
@@ -359,6 +381,20 @@ def flag_summary(labels):
     return out.withColumn("good_rate", F.round(F.col("n_good") * 100.0 / F.col("n_rows"), 2))
 
 
+@query("""WITH u AS (SELECT user_id, count(*) FILTER (WHERE event_type <> 'error') AS good, count(*) FILTER (WHERE event_type = 'error') AS bad FROM events GROUP BY 1)
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE good > bad) AS n_usable, sum(good)::BIGINT AS total_good, sum(bad)::BIGINT AS total_bad, round(sum(good) * 100.0 / (sum(good) + sum(bad)), 1) AS rate FROM u""")
+def user_success_rate(events):
+    error = F.col("event_type") == "error"
+    return report.success_rate(events.groupBy("user_id").agg(F.count_if(~error).alias("good"), F.count_if(error).alias("bad")), "good", "bad")
+
+
+@query("""SELECT page_id, coalesce(nullif(regexp_extract(trim(url), '^([a-zA-Z][a-zA-Z0-9+.-]*)?://([^/?#]+)'), '') || '/***', '<invalid-url>') AS shown, base64(encode(url)) AS coded, url AS decoded FROM pages""")
+def url_redaction(pages):
+    from ..functions.text import decode_base64, encode_base64, redact_url
+
+    return pages.select("page_id", redact_url("url").alias("shown"), encode_base64("url").alias("coded"), decode_base64(encode_base64("url")).alias("decoded"))
+
+
 @query("SELECT r_regionkey AS id, r_name AS name, 'region' AS kind, -1 AS parent FROM region UNION ALL SELECT n_nationkey, n_name, 'nation', n_regionkey FROM nation UNION ALL SELECT c_custkey, c_name, 'customer', c_nationkey FROM customer")
 def ragged_union(region, nation, customer):
     a = region.select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name"), F.lit("region").alias("kind"))
@@ -367,13 +403,40 @@ def ragged_union(region, nation, customer):
     return a.unionByName(b, allowMissingColumns=True).unionByName(c).fillna({"parent": -1})
 
 
-@query("""WITH e AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 'theirs' WHEN ts < TIMESTAMP '2024-01-21' THEN 'ours' ELSE 'current' END AS side FROM events),
-s AS (SELECT user_id, count(DISTINCT event_type) AS n_types, max(event_id) AS last_id, count(DISTINCT side) = 3 AS everywhere, arg_max(event_type, (side = 'current', side = 'ours', event_id)) AS kind FROM e GROUP BY 1)
-SELECT user_id, n_types, last_id, everywhere, kind FROM s""")
+@query("""WITH e AS (SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 2 WHEN ts < TIMESTAMP '2024-01-21' THEN 1 ELSE 0 END AS side, '{"k": ' || (event_id % 3) || '}' AS p FROM events),
+s AS (SELECT user_id, side, list_sort(list_distinct(list(event_type))) AS kinds, count(*) AS total, arg_max(event_type, event_id) AS kind, min(event_id) AS page, count(*) FILTER (WHERE event_type = 'error') AS errors FROM e GROUP BY ALL),
+l AS (SELECT user_id, count(*) AS n_types FROM (SELECT DISTINCT user_id, unnest(kinds) FROM s) GROUP BY 1)
+SELECT user_id, n_types, max(total) AS total, arg_min(kind, side) AS kind, CASE WHEN count(*) = 1 OR count(DISTINCT kinds) = 1 THEN min(page) END AS page, bool_and(errors > 0) AS done, min(side) AS near FROM s JOIN l USING (user_id) GROUP BY user_id, n_types""")
 def progress_merge(events):
-    """Three slices of the events as three progress states of each user."""
-    side = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), "theirs").when(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), "ours").otherwise("current")
-    return progress.merge_slices(events.withColumn("side", side))
+    """Three slices of the events as three progress states of each user; the types are the plan."""
+    side = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), 2).when(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), 1).otherwise(0)
+    states = events.groupBy("user_id", side.alias("side")).agg(
+        F.array_sort(F.collect_set("event_type")).alias("kinds"),
+        F.count(F.lit(1)).alias("total"),
+        F.max_by("event_type", "event_id").alias("kind"),
+        F.min("event_id").alias("page"),
+        (F.count_if(F.col("event_type") == "error") > 0).alias("done"),
+    )
+    states = states.withColumn("plan", F.col("kinds")).withColumn("near", F.col("side"))
+    out = progress.merge_sides(states, ["user_id"], "side", lists=["kinds"], totals=["total"], cursor=["page"], plan="plan", done="done")
+    return out.select("user_id", F.size("kinds").cast("long").alias("n_types"), "total", "kind", "page", "done", "near")
+
+
+@query("""WITH d AS (SELECT user_id, ts::DATE::VARCHAR AS day, event_id, event_type = 'error' AS bad FROM events)
+SELECT user_id, coalesce(min({'day': day, 'event_id': event_id}) FILTER (WHERE bad), max({'day': day, 'event_id': event_id})).day AS day,
+       coalesce(min({'day': day, 'event_id': event_id}) FILTER (WHERE bad), max({'day': day, 'event_id': event_id})).event_id AS event_id,
+       count(*) FILTER (WHERE bad) > 0 AS again, count(*) FILTER (WHERE bad) AS n_failed FROM d GROUP BY 1""")
+def failure_cursor(events):
+    rows = events.select("user_id", F.to_date("ts").cast("string").alias("day"), "event_id", (F.col("event_type") == "error").alias("bad"))
+    return progress.cursors(rows, ["user_id"], ["day", "event_id"], F.col("bad"))
+
+
+@query("""WITH p AS (SELECT user_id, dayofmonth(ts) AS page, count(*) FILTER (WHERE event_type <> 'view') AS n FROM events GROUP BY ALL),
+b AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before, coalesce(min(n) OVER w, 1) AS least FROM p WHERE page <= 20 WINDOW w AS (PARTITION BY user_id ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT user_id, page, n FROM b WHERE n > 0 AND least > 0 AND before < 15""")
+def scan_pages(events):
+    pages = events.groupBy("user_id", F.dayofmonth("ts").alias("page")).agg(F.count_if(F.col("event_type") != "view").alias("n"))
+    return progress.scanned(pages, ["user_id"], "page", "n", wanted=5, most_pages=20)
 
 
 @query("""WITH f AS (SELECT user_id, ts::DATE::VARCHAR AS day, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY ALL)

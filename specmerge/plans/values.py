@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..functions import capacity, dates, equality, keys, text
-from ..operators import guards, normalize
+from ..operators import guards, match, normalize
 from ..profiles import phones
 from .registry import query
 
@@ -191,12 +191,10 @@ b AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(text, '[ \
 p AS (SELECT doc_id, item_id, count(*) AS common FROM (SELECT doc_id, unnest(w) AS t FROM d) JOIN (SELECT item_id, unnest(w) AS t FROM b) USING (t) GROUP BY ALL)
 SELECT doc_id, item_id, common, round(common / (len(d.w) + len(b.w) - common), 6) AS jaccard FROM p JOIN d USING (doc_id) JOIN b USING (item_id) WHERE common / (len(d.w) + len(b.w) - common) >= 0.2""")
 def jaccard_tokens(documents, benchmark):
-    """Pairs meet on a shared word, so that no pair without one is made; the sets' sizes travel with the words."""
-    words = lambda c: F.array_distinct(F.array_remove(F.split(c, WS), ""))
-    side = lambda df, i: df.select(i, words("text").alias("w")).select(i, F.size("w").alias(f"n_{i}"), F.explode("w").alias("t"))
-    both = side(documents, "doc_id").join(side(benchmark, "item_id"), "t").groupBy("doc_id", "item_id", "n_doc_id", "n_item_id").agg(F.count(F.lit(1)).alias("common"))
-    share = F.col("common") / (F.col("n_doc_id") + F.col("n_item_id") - F.col("common"))
-    return both.where(share >= 0.2).select("doc_id", "item_id", "common", F.round(share, 6).alias("jaccard"))
+    """Pairs meet on a shared word of their prefixes."""
+    side = lambda df, i: df.select(i, F.array_distinct(F.array_remove(F.split("text", WS), "")).alias("w"))
+    pairs = match.similar_sets(side(documents, "doc_id"), side(benchmark, "item_id"), "doc_id", "item_id", 0.2)
+    return pairs.withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query(r"SELECT doc_id, trim(regexp_replace(s, '\s*[、,，/|•>；;]+\s*', '|', 'g'), ' |') AS spec FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS s FROM documents)")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import csv_line
+from .shared import scratch
 
 
 def field_order(rows: DataFrame, attrs: str, fixed: Sequence[str], ord_col: str | None = None, rest: str = "seen") -> list[str]:
@@ -39,18 +39,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def export_csv(df: DataFrame, file: str) -> int:
-    """One file with a byte-order mark, written row by row on the driver and put in place when whole; returns its rows."""
-    n = 0
-
-    def lines() -> Iterable[str]:
-        nonlocal n
-        yield "﻿" + ",".join(_quoted(c) for c in df.columns) + "\r\n"
-        for r in csv_lines(df).toLocalIterator():
-            n += 1
-            yield r.line + "\r\n"
-
-    put_file(file, lines())
-    return n
+    """One file with a byte-order mark, put in place when whole; returns its rows. Tasks write the parts, which are then joined."""
+    head = "\ufeff" + ",".join(_quoted(c) for c in df.columns) + "\r\n"
+    return _joined(csv_lines(df), file, head, "\r\n", "")
 
 
 def _quoted(x: str) -> str:
@@ -58,36 +49,64 @@ def _quoted(x: str) -> str:
 
 
 def export_json(df: DataFrame, file: str) -> int:
-    """One JSON array, an object per line, non-ASCII kept."""
-    n = 0
-
-    def lines() -> Iterable[str]:
-        nonlocal n
-        for r in df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator():
-            yield ("[\n" if n == 0 else ",\n") + r.j
-            n += 1
-        yield "\n]\n" if n else "[]\n"
-
-    put_file(file, lines())
-    return n
-
-
-def put_file(file: str, parts: Iterable[str]) -> None:
-    """Write beside the file, flush to disk, then take its place."""
-    os.makedirs(os.path.dirname(file) or ".", exist_ok=True)
-    temp = f"{file}.{uuid.uuid4().hex}"
+    """One JSON array, an object per line, non-ASCII kept; written as export_csv does."""
+    lines = df.select(F.concat(F.lit(","), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).alias("line"))
+    return _joined(lines, file, "[", "\n", "]\n", skip=1)
+
+
+def _joined(lines: DataFrame, file: str, head: str, sep: str, tail: str, skip: int = 0) -> int:
+    """Write lines in parallel and join the parts, in order, between head and tail, without the first skip bytes; returns the number of lines."""
+    spark, seen, parts = lines.sparkSession, Observation(), scratch(lines.sparkSession, "export")
+    lines.observe(seen, F.count(F.lit(1)).alias("n")).write.option("lineSep", sep).text(parts)
+    jvm, fs, folder = _store(parts)
+
+    def copy(out) -> None:
+        left = skip
+        for x in sorted(x.getPath().toString() for x in fs.listStatus(folder)):
+            if x.rpartition("/")[2].startswith("part-"):
+                part = fs.open(jvm.org.apache.hadoop.fs.Path(x))
+                if left and fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(x)).getLen():
+                    part.seek(left)
+                    left = 0
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+                part.close()
+
+    _put(file, [head.encode(), copy, tail.encode()])
+    fs.delete(folder, True)
+    return seen.get["n"]
+
+
+def _store(path: str):
+    """The JVM, the file system of a path and the path, whatever store it is in."""
+    spark = SparkSession.active()
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def _put(file: str, parts: Iterable[bytes | Callable]) -> None:
+    """Write beside the file, flush to the store, then take its place; bytes are written, functions get the stream."""
+    jvm, fs, temp = _store(f"{file}.{uuid.uuid4().hex}")
+    target = jvm.org.apache.hadoop.fs.Path(file)
     try:
-        with open(temp, "w", encoding="utf-8", newline="") as f:
-            f.writelines(parts)
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(temp, file)
+        out = fs.create(temp, True)
+        for x in parts:
+            x(out) if callable(x) else out.write(bytearray(x))
+        out.hsync()
+        out.close()
+        over = SparkSession.active().sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri()).rename(fs.makeQualified(temp), fs.makeQualified(target), over)
     except BaseException:
-        if os.path.exists(temp):
-            os.remove(temp)
+        fs.delete(temp, False)
         raise
 
 
+def put_file(file: str, parts: Iterable[str]) -> None:
+    """One small file, whole or not at all."""
+    _put(file, [x.encode("utf-8") for x in parts])
+
+
 def put_record(folder: str, record: dict, key: str = "id") -> str:
     """One file per record, named by its id."""
     name = str(record[key])
@@ -99,18 +118,22 @@ def put_record(folder: str, record: dict, key: str = "id") -> str:
 
 def swap_folder(staged: str, target: str) -> None:
     """Put a staged folder in place of target; the old one comes back if that fails."""
-    old = f"{target}.{uuid.uuid4().hex}"
-    had = os.path.exists(target)
-    if had:
-        os.replace(target, old)
+    jvm, fs, new = _store(staged)
+    place, old = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(f"{target}.{uuid.uuid4().hex}")
+    if not fs.exists(new):
+        raise FileNotFoundError(staged)
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"{target} can't be moved")
     try:
-        os.replace(staged, target)
+        if not fs.rename(new, place):
+            raise OSError(f"{staged} can't be moved")
     except BaseException:
         if had:
-            os.replace(old, target)
+            fs.rename(old, place)
         raise
     if had:
-        shutil.rmtree(old)
+        fs.delete(old, True)
 
 
 def write_if_any(df: DataFrame, file: str) -> bool:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Callable, Sequence
-from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -40,66 +41,72 @@ def settled(cached: DataFrame, skipped: DataFrame, min_year: int) -> DataFrame:
     return cached.select("id").union(done).distinct()
 
 
-def merge_slices(events: DataFrame) -> DataFrame:
-    """Per user, of events with side theirs, ours or current: types of all sides, largest id, whether all sides have it, and the type of the side that comes last."""
-    order = F.struct((F.col("side") == "current").alias("c"), (F.col("side") == "ours").alias("o"), "event_id")
-    return events.groupBy("user_id").agg(
-        F.count_distinct("event_type").alias("n_types"),
-        F.max("event_id").alias("last_id"),
-        (F.count_distinct("side") == 3).alias("everywhere"),
-        F.max_by("event_type", order).alias("kind"),
-    )
-
-
-def union_lists(*lists: list[Any] | None) -> list[Any]:
-    """Distinct items in order; items are the same if their JSON is."""
-    import json
-
-    seen = {}
-    for x in lists:
-        for item in x if isinstance(x, list) else ():
-            seen.setdefault(json.dumps(item, ensure_ascii=False, sort_keys=True), item)
-    return list(seen.values())
-
-
-LISTS = ("crawled_phones", "processed_phones", "crawled_pages")
-#: Fields that name one place in a plan; they move together or not at all.
-CURSOR = ("current_brand_index", "current_brand", "current_page", "brand_plan", "previous_list_brand", "previous_list_page", "previous_list_ids", "list_page_fingerprints")
-START = {"current_brand_index": 0, "current_brand": "", "current_page": 1, "previous_list_brand": "", "previous_list_page": 0, "previous_list_ids": [], "list_page_fingerprints": {}}
-
-
-def _largest(states: Sequence[dict], key: str, default: int) -> int:
-    return max((s[key] for s in states if isinstance(s.get(key), int)), default=default)
-
-
-def merge_progress(current: dict, ours: dict, theirs: dict) -> dict:
-    """One progress record of three: lists are united, skip reasons of the nearer side win, totals are the largest.
-
-    With a brand plan the earliest complete cursor wins, or the start if the plans differ, and a scan is
-    complete only if all sides say so; without, the largest page wins.
+def union_lists(lists: Sequence[Column]) -> Column:
+    """Distinct items of arrays, in order; a null array has none."""
+    return F.array_distinct(F.flatten(F.array_compact(F.array(*lists))))
+
+
+def merge_sides(
+    states: DataFrame,
+    scope: Sequence[str],
+    side: str,
+    *,
+    lists: Sequence[str] = (),
+    maps: Sequence[str] = (),
+    totals: Sequence[str] = (),
+    cursor: Sequence[str] = (),
+    moves: Sequence[str] = (),
+    plan: str | None = None,
+    done: str | None = None,
+) -> DataFrame:
+    """One state per scope from those of its sides, at most one row each; the least side is the nearest.
+
+    lists are united, of maps the nearest side's entry wins, of totals the largest. The columns of cursor say
+    how far a side came, in order; those of moves go with them. If a side has a plan, the earliest whole cursor
+    wins, and if whole cursors follow different plans, all columns of cursor, moves and plan are null: start
+    anew. Without a plan, each column of cursor is the largest. done holds only if it does on all sides. Other columns
+    are the nearest side's that isn't null.
     """
-    near = [current, ours, theirs]
-    merged: dict[str, Any] = {k: v for s in reversed(near) for k, v in s.items()}
-    merged.update({k: union_lists(*(s.get(k) for s in near)) for k in LISTS})
-    skipped = {k: v for s in reversed(near) for k, v in (s.get("skipped_phones") or {}).items()}
-    if skipped:
-        merged["skipped_phones"] = skipped
-    if "total_phones" in merged:
-        merged["total_phones"] = _largest(near, "total_phones", len(merged["crawled_phones"]))
-    told = [s for s in near if s]
-    if not any("current_brand" in s or "brand_plan" in s for s in told):
-        merged.update({k: _largest(near, k, 1) for k in ("current_page", "current_brand_index") if k in merged})
-        return merged
-    whole = [s for s in told if isinstance(s.get("current_brand_index"), int) and isinstance(s.get("current_page"), int)]
-    plans = [s.get("brand_plan") for s in whole]
-    alike = all(isinstance(p, list) and p and p == plans[0] for p in plans)
-    if len(whole) > 1 and not alike:
-        merged.update({k: type(v)(v) for k, v in START.items()})
-    elif whole:
-        first = min(whole, key=lambda s: (s["current_brand_index"], s["current_page"]))
-        merged.update({k: first[k] for k in CURSOR if k in first})
-    merged["scan_complete"] = bool(told) and all(s.get("scan_complete") is True for s in told)
-    return merged
+    special = {side, *scope, *lists, *maps, *totals, *cursor, *moves, *filter(None, (plan, done))}
+    others = [c for c in states.columns if c not in special]
+    rows = states.groupBy(*scope).agg(F.sort_array(F.collect_list(F.struct(side, F.struct(*(c for c in states.columns if c not in (*scope, side))).alias("s")))).alias("sides"))
+    each = lambda f: F.transform("sides", lambda x: f(x["s"]))
+    out = [F.get(F.array_compact(each(lambda s, c=c: s[c])), F.lit(0)).alias(c) for c in others]
+    out += [F.array_distinct(F.flatten(F.array_compact(each(lambda s, c=c: s[c])))).alias(c) for c in lists]
+    for c in maps:
+        kind = states.schema[c].dataType.simpleString()
+        nearest = lambda done, more: F.map_zip_with(done, F.coalesce(more, F.create_map().cast(kind)), lambda k, a, b: F.coalesce(a, b))  # noqa: B023, E731
+        out.append(F.aggregate(each(lambda s, c=c: s[c]), F.create_map().cast(kind), nearest).alias(c))
+    out += [F.array_max(each(lambda s, c=c: s[c])).alias(c) for c in totals]
+    if cursor:
+        whole = F.filter("sides", lambda x: functools.reduce(lambda a, b: a & b, (x["s"][c].isNotNull() for c in cursor)))
+        first = F.array_min(F.transform(whole, lambda x: F.struct(*(x["s"][c].alias(c) for c in cursor), x[side].alias(side))))
+        at = F.get(F.filter("sides", lambda x: x[side] == first[side]), F.lit(0))["s"]
+        planned = F.exists("sides", lambda x: x["s"][plan].isNotNull()) if plan else F.lit(False)
+        plans = F.transform(whole, lambda x: x["s"][plan] if plan else F.lit(None))
+        follow = (F.size(whole) == 1) | (F.forall(plans, lambda p: p.isNotNull() & (F.size(p) > 0)) & (F.size(F.array_distinct(plans)) == 1)) if plan else F.lit(True)
+        out += [F.when(planned, F.when(follow, at[c])).otherwise(F.array_max(each(lambda s, c=c: s[c]))).alias(c) for c in cursor]
+        nearer = lambda c: F.get(F.array_compact(each(lambda s: s[c])), F.lit(0))
+        out += [F.when(planned, F.when(follow, at[c])).otherwise(nearer(c)).alias(c) for c in (*moves, *filter(None, (plan,)))]
+    if done:
+        out.append(F.forall("sides", lambda x: F.coalesce(x["s"][done], F.lit(False))).alias(done))
+    return rows.select(*scope, *out)
+
+
+def cursors(attempts: DataFrame, scope: Sequence[str], place: Sequence[str], failed: Column) -> DataFrame:
+    """Where each scope goes on: its earliest failed place, or else after its last; n_failed. Failures hold nothing up."""
+    at = F.struct(*place)
+    out = attempts.groupBy(*scope).agg(F.min(F.when(failed, at)).alias("retry"), F.max(at).alias("last"), F.count_if(failed).alias("n_failed"))
+    return out.select(*scope, *(F.coalesce("retry", "last")[c].alias(c) for c in place), F.col("retry").isNotNull().alias("again"), "n_failed")
+
+
+def scanned(pages: DataFrame, group: Sequence[str], page: str, n: str, *, wanted: int = 0, spare: int = 3, most_pages: int = 100) -> DataFrame:
+    """The pages that a scan reads: of each group up to its first page without items, most_pages at most, and none after ``spare * wanted`` items (0: no limit)."""
+    rows = pages.where((F.col(page) >= 1) & (F.col(page) <= most_pages))
+    before = Window.partitionBy(*group).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)  # most_pages rows
+    rows = rows.withColumn("__n", F.coalesce(F.sum(n).over(before), F.lit(0))).withColumn("__least", F.coalesce(F.min(n).over(before), F.lit(1)))
+    rows = rows.where((F.col("__least") > 0) & (F.col(n) > 0))
+    return (rows.where(F.col("__n") < spare * wanted) if wanted else rows).drop("__n", "__least")
 
 
 def replayed_pages(pages: DataFrame, group: str, page: str, ids: str) -> DataFrame:
@@ -109,13 +116,49 @@ def replayed_pages(pages: DataFrame, group: str, page: str, ids: str) -> DataFra
     return marked.join(first, [group, "mark"]).where(F.col(page) != F.col("known_page")).select(group, page, "known_page")
 
 
-def ingest(spark: SparkSession, source: str, schema: StructType, checkpoint: str, sink: Callable[[DataFrame, int], None], *, fmt: str = "json", files: int = 100) -> None:
-    """Read what is new in a folder, files at a time, hand each batch to sink once, and stop; a later call goes on."""
+def ingest(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    checkpoint: str,
+    sink: Callable[[DataFrame, int], None],
+    *,
+    fmt: str = "json",
+    files: int = 100,
+    seconds: float | None = None,
+    batches: int | None = None,
+) -> bool:
+    """Read what is new in a folder, files at a time, and hand each batch to sink once; a later call goes on.
+
+    True: all is read. False: saved, not finished, as the time or the number of batches is used up. A batch that
+    the end breaks off is handed over again, with the same number, by the next call.
+    """
+    handed, end = [], None if seconds is None else time.monotonic() + seconds
+
+    def put(batch: DataFrame, number: int) -> None:
+        sink(batch, number)
+        handed.append(number)
+
     rows = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files).load(source)
-    query = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    query = rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    while not query.awaitTermination(0.2):
+        if (batches is not None and len(handed) >= batches) or (end is not None and time.monotonic() >= end):
+            query.stop()
+            return False
     if error := query.exception():
         raise error
+    return True
+
+
+def apart(sink: Callable[[DataFrame, int], None], valid: Column, path: str) -> Callable[[DataFrame, int], None]:
+    """A sink that gets the valid rows alone; the others, the dead letters, go to a folder of the batch below path."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        ok = F.coalesce(valid, F.lit(False))
+        batch.where(~ok).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        sink(batch.where(ok), number)
+
+    return put
 
 
 def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:

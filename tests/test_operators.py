@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ PUB = "id string, keys array<string>, config string, n_sources int, ord int"
 def test_preserve_keeps_what_is_lost(spark):
     base = spark.createDataFrame([("a", ["id:1"], "c1", 1, 0), ("b", ["id:2", "id:3"], "c2", 2, 1), ("c", ["id:3"], "c3", 1, 2), ("d", ["id:4"], "c4", 1, 3), ("e", ["id:5", "id:6"], "c5", 1, 4), ("f", ["id:6", "id:7"], "c6", 3, 5)], PUB)
     cand = spark.createDataFrame([("x", ["id:1"], "z", 1, 0), ("y", ["id:9"], "c4", 1, 1)], PUB)
-    kept = publish.preserve(base, cand, components)
+    kept = publish.preserve(base, cand)
     assert sorted(r.id for r in kept.collect()) == ["b", "e", "f"]  # c is covered by b; d by its configuration
     assert publish.attach_by_config(base, cand).collect()[0].attached == ["4"]
     lost = publish.missing_keys(base.select(F.explode("keys").alias("key")), cand.select(F.explode("keys").alias("key")))
@@ -211,3 +212,56 @@ def test_scratch_tables_are_cleaned(spark):
     assert shared.clean(spark) >= 1 and shared.clean(spark) == 0
     with pytest.raises(AnalysisException):
         spark.read.parquet(kept.inputFiles()[0].rsplit("/", 1)[0]).count()
+
+
+def test_preserve_equals_the_loop(spark):
+    """Random rows that share keys: the same rows stay as with one pass in order."""
+    rng = random.Random(5)
+    rows = [(i, sorted({f"id:{rng.randrange(40)}" for _ in range(rng.randrange(1, 5))}), f"c{i}", rng.randrange(3), rng.randrange(50)) for i in range(120)]
+    known = {"id:3", "id:7"}
+    seen, want = set(known), set()
+    for i, ks, _, _, _ in sorted(rows, key=lambda r: (-r[3], -len(r[1]), r[4], r[0])):
+        if not set(ks) <= seen:
+            want.add(i)
+            seen |= set(ks)
+    kind = "id long, keys array<string>, config string, n_sources int, ord int"
+    cand = spark.createDataFrame([(1000, sorted(known), "x", 1, 0)], kind)
+    assert {r.id for r in publish.preserve(spark.createDataFrame(rows, kind), cand).collect()} == want
+
+
+def test_published_rows_are_clean(spark):
+    kind = "id string, attrs map<string,string>"
+    cand = spark.createDataFrame([("a", {"内存": "8GB 游戏运行流畅", "NFC功能": "支持"})], kind)
+    kept = spark.createDataFrame([("b", {"存储": "256GB、约1万张照片", "交叉验证差异": "-", "x": " y "})], kind)
+    got = {r.id: r.attrs for r in publish.published(cand, kept).collect()}
+    assert got["a"] == {"内存": "8GB", "NFC": "支持"}
+    assert got["b"] == {"存储": "256GB", "交叉验证差异": "-", "x": " y "}
+    same = publish.published(cand, kept.limit(0), only_if_kept=True).collect()
+    assert [r.attrs for r in same] == [{"内存": "8GB 游戏运行流畅", "NFC功能": "支持"}]
+    assert publish.published(cand, kept.limit(0)).collect()[0].attrs["内存"] == "8GB"
+
+
+def test_similar_sets_equal_all_pairs(spark):
+    rng = random.Random(1)
+    sets = [sorted({f"w{int(rng.random() ** 2 * 30)}" for _ in range(rng.randrange(0, 12))}) for _ in range(80)]
+    a = spark.createDataFrame(list(enumerate(sets[:50])), "a long, w array<string>")
+    b = spark.createDataFrame(list(enumerate(sets[50:])), "b long, w array<string>")
+    for least in (0.2, 0.5, 1.0):
+        got = {(r.a, r.b): r.common for r in match.similar_sets(a, b, "a", "b", least).collect()}
+        want = {(i, j): len(set(x) & set(y)) for i, x in enumerate(sets[:50]) for j, y in enumerate(sets[50:]) if set(x) & set(y) and len(set(x) & set(y)) >= least * len(set(x) | set(y)) - 1e-12}
+        assert got == want
+
+
+def test_hot_keys_keep_one_row(spark):
+    rows = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), F.lit("x").alias("v"))
+    assert sorted((r.k, r.o, r.v) for r in match.keep(rows, ["k"], ["o"], last=True).collect()) == [(0, 998, "x"), (1, 999, "x")]
+    fresh = spark.createDataFrame([(0, 5, "new"), (7, 6, "n")], "k long, o long, v string")
+    assert sorted((r.k, r.o, r.v) for r in match.upsert(rows, fresh, ["k"], "o").collect()) == [(0, 0, "new"), (1, 1, "x"), (7, 6, "n")]
+
+
+def test_view_state_begins_anew():
+    spec = view.QuerySpec(search="a", visible=("x",))
+    state = view.ViewState().synced(spec).more().toggled("s")
+    assert (state.limit, state.expanded) == (48, {"s"})
+    assert state.synced(view.QuerySpec(search="a", visible=("y",))) is state
+    assert state.synced(view.QuerySpec(search="b")) == view.ViewState(view.signature(view.QuerySpec(search="b")))

@@ -105,7 +105,7 @@ def test_sinks(spark, tmp_path):
         sinks.put_record(str(tmp_path), {"id": "../x"})
 
 
-def test_swap_folder(tmp_path):
+def test_swap_folder(spark, tmp_path):
     (tmp_path / "new").mkdir(), (tmp_path / "old").mkdir()
     (tmp_path / "new" / "f").write_text("1")
     sinks.swap_folder(str(tmp_path / "new"), str(tmp_path / "old"))
