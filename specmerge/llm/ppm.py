@@ -1,83 +1,138 @@
 r"""Language-model scores of documents by prediction by partial matching over bytes.
 
-A document is its words, A-Z lower-cased, and one end. A word is spelled by its bytes and a space, the end
-by a newline. A symbol is predicted from the longest context first:
-
-1. the word's bytes so far, in texts of one language;
-2. the word's bytes so far (contexts 1 and 2 reach back ``DEPTH`` bytes at most);
-3. the last two bytes, 4. the last byte, 5. no context, 6. all 256 symbols alike.
-
-A context that was seen n times with d different symbols gives a symbol seen c times (2 c - 1) / (2 n) and
-keeps d / (2 n) for escape (method D). On escape, the next context's probabilities hold without the symbols seen
-so far: they are divided by what those leave. A text's language isn't given: its probability is the sum over
-languages of the share of the language's training texts times the text's probability in it.
-
-The trie of contexts 1 and 2 is as large as the vocabulary and stays distributed. A task holds
-whole branches, those of the words that begin with the same three symbols, and computes each word's code length once. The
-counts above the branches and those of contexts 3 to 5 have three symbols at most, so that their tables
-have at most 2 ** 24 rows whatever the corpus; they are sent to all tasks. Documents add up their words' code
-lengths: the ``HEAD`` most frequent short words are sent to all tasks, the other words meet theirs in a join.
-
-Defined cases: null text is the end alone; a null doc_id is in the training part; a null language is a
-language; repeated rows are scored, and counted, each; other columns are not read; an empty table has no rows.
+A document is the running bytes of its words, A-Z lower-cased, each followed by a space, and a newline at the end;
+before it stand newlines. A byte is predicted from the ``ORDER`` bytes before it, across spaces and word ends,
+however long a word is. Escape goes order by order: from ``ORDER`` bytes to one less, down to none and then to
+all 256 bytes alike. A context that was seen n times with d different bytes gives a byte seen c times
+(2 c - 1) / (2 n) and keeps d / (2 n) for escape (method D). On escape, the next order's probabilities hold
+without the bytes seen so far: they are divided by what those leave (symbol exclusion). The model is pretrained on the training documents.
+
+1. Tasks count the grams, ORDER bytes and the byte after them, of their documents; an aggregation sums them. A gram is
+   a 64-bit number and no hash, so that counts are exact.
+2. The trie of contexts is dealt by its branches at three bytes: a gram's last three bytes of context. All counts
+   of orders three and up lie within a branch, and a branch has at most 256 ** (ORDER - 2) grams, 2 ** 24, whatever
+   the corpus. Counts of lower orders, three bytes with the symbol, have at most 2 ** 24 rows and are sent to all tasks.
+   Each gram's code length is computed once.
+3. Documents add up the code lengths of their grams: the ``HEAD`` most frequent are sent to all tasks as a hash
+   table, and the others, few of a text's bytes, meet theirs in a join. Words meet their counts, for the base score,
+   in the same way.
+
+Defined cases: null text is the end alone; a null doc_id is in the training part; repeated rows are scored, and
+counted, each; other columns are not read; an empty table has no rows.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, saved, slices
 
-DEPTH, HEAD, HEAD_BYTES, LANGUAGES, FLUSH = 64, 1 << 18, 40, 7, 400_000
+ORDER = 5
+#: Most grams, and words of at most HEAD_BYTES, that are sent to all tasks; grams and words that a task holds before it gives them out.
+HEAD, HEAD_BYTES, FLUSH, HELD = 1 << 18, 40, 400_000, 6_000_000
 END = b"\n"
+_BEFORE = END * ORDER
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), END]
 
 
-def spelled(word: bytes) -> bytes:
-    return word if word == END else word + b" "
+def running(said: list[bytes]) -> bytes:
+    """The bytes that are scored, of a document's tokens."""
+    return b" ".join(said)
 
 
-class _Counts(dict):
-    def __missing__(self, key):
-        return 0
+def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All grams of some documents' running bytes in a row, and where each document's begin."""
+    sizes = np.array([len(t) for t in texts])
+    data = np.frombuffer(_BEFORE + _BEFORE.join(texts) + bytes(8), np.uint8)
+    # eight bytes from each place on, of which ORDER + 1 count
+    wide = np.ndarray(len(data) - 8, ">u8", data, strides=(1,)).astype(np.uint64) >> np.uint64(8 * (7 - ORDER))
+    starts = np.cumsum(sizes + ORDER) - sizes - ORDER
+    keep = np.ones(len(wide), bool)
+    keep[(starts + sizes)[:, None] + np.arange(ORDER)] = False  # begin in one document and end in the next
+    return wide[keep], np.cumsum(sizes) - sizes
 
 
-def _vocabulary(docs: DataFrame, languages: int) -> DataFrame:
-    """w, n_all (tokens), c0, c1, ... (training tokens by language) of every word of docs (text, held_out, k)."""
+def _counted(keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their n."""
+    if n is None:
+        keys = np.sort(keys)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.diff(np.append(first, len(keys))) if n is None else np.add.reduceat(n, first)
+
+
+COUNTED = "g bigint, w binary, n_all bigint, c bigint"
 
-    def count(batches):
-        parts: dict[tuple[int, bool], dict[bytes, int]] = {}
 
-        def rows():
-            for (k, held), words in parts.items():
-                n = np.fromiter(words.values(), np.int64, len(words))
-                yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.array(np.full(len(n), k, np.int32)), pa.array(n), pa.array(n * (not held))], ["w", "k", "n_all", "n"])
-            parts.clear()
+def _counts(docs: DataFrame) -> DataFrame:
+    """COUNTED of every gram (g, w null) and word (w, g null) of docs (text, held_out): occurrences, and those in training documents."""
+
+    def count(batches):
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
+        words = (Counter(), Counter())
+
+        def merged():
+            out = _counted(np.concatenate([k for k, _ in seen]), np.concatenate([n for _, n in seen]))
+            seen[:] = [out]
+            return out
+
+        def gram_rows():
+            keys, n = merged()  # a key ends in whether its document is held out
+            g, both = keys >> np.uint64(1), np.concatenate([[True], (keys[1:] ^ keys[:-1]) > 1])
+            first = np.flatnonzero(both)
+            train = np.add.reduceat(np.where(keys & np.uint64(1), 0, n), first)
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(g[first].view(np.int64)), pa.nulls(len(first), pa.binary()), pa.array(np.add.reduceat(n, first)), pa.array(train)], ["g", "w", "n_all", "c"])
+
+        def word_rows():
+            for held, found in enumerate(words):
+                if found:
+                    n = np.fromiter(found.values(), np.int64, len(found))
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.array(list(found), pa.binary()), pa.array(n), pa.array(n * (not held))], ["g", "w", "n_all", "c"])
+                    found.clear()
 
         for batch in slices(batches):
-            for text, held, k in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = parts.setdefault((k, held), _Counts())
-                for w in tokens(text):
-                    words[w] += 1
-                if sum(map(len, parts.values())) > FLUSH:
-                    yield from rows()
-        yield from rows()
+            parts: tuple[list[bytes], list[bytes]] = ([], [])
+            for text, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                said = tokens(text)
+                words[held].update(said)
+                parts[held].append(running(said))
+            for held, texts in enumerate(parts):
+                if texts:
+                    seen.append(_counted(grams(texts)[0] << np.uint64(1) | np.uint64(held)))
+            if sum(len(k) for k, _ in seen) > HELD and len(merged()[0]) > HELD // 2:
+                yield gram_rows()
+            if sum(map(len, words)) > FLUSH:
+                yield from word_rows()
+        if seen:
+            yield gram_rows()
+        yield from word_rows()
+
+    found = docs.select("text", "held_out").mapInArrow(count, COUNTED)
+    return saved(found.groupBy("g", "w").agg(F.sum("n_all").alias("n_all"), F.sum("c").alias("c")), "counts")
+
 
-    seen = docs.select("text", "held_out", "k").mapInArrow(count, "w binary, k int, n_all bigint, n bigint")
-    by = [F.sum(F.when(F.col("k") == k, F.col("n")).otherwise(0)).alias(f"c{k}") for k in range(languages)]
-    return saved(seen.groupBy("w").agg(F.sum("n_all").alias("n_all"), *by), "vocabulary")
+def mixed(c, n, d, lower, seen_lower):
+    """Probability in a context where the symbol was seen c times of n, with d different symbols of lower probability seen_lower."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n == 0, lower, np.where(c > 0, (c - 0.5) / n, d / (2 * n) * lower / np.maximum(1 - seen_lower, 1e-12)))
 
 
-class Suffixes:
-    """Contexts 3 to 6: probability of each symbol after two bytes, from counts of three (before, before, symbol)."""
+class Low:
+    """Orders two, one and none: probability of each byte after two, from counts of three (before, before, byte)."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         rows, of = np.unique(keys >> 8, return_inverse=True)
@@ -87,7 +142,7 @@ class Suffixes:
         np.add.at(one, rows & 255, two)
         zero = self._mixed(one.sum(axis=0)[None, :], np.full((1, 256), 1 / 256))
         self.one = self._mixed(one, np.repeat(zero, 256, axis=0))
-        self.two = self._mixed(two, self.one[rows & 255])
+        self.two = self._mixed(two, self.one[rows & 255]) if len(rows) else np.zeros((1, 256))
         self.row = np.full(1 << 16, -1)
         self.row[rows] = np.arange(len(rows))
 
@@ -95,146 +150,123 @@ class Suffixes:
     def _mixed(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
         return mixed(counts, counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True), lower, np.where(counts > 0, lower, 0).sum(axis=1, keepdims=True))
 
-    def __call__(self, before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        row = self.row[before]
-        return np.where(row >= 0, self.two[row, symbol], self.one[before & 255, symbol])
-
-
-def mixed(c, n, d, lower, seen_lower):
-    """Probability in a context where the symbol was seen c times of n, with d different symbols of lower probability seen_lower."""
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(n == 0, lower, np.where(c > 0, (c - 0.5) / n, d / (2 * n) * lower / np.maximum(1 - seen_lower, 1e-12)))
-
-
-def code(words: list[bytes], counts: np.ndarray, suffixes: Suffixes, begin: int = 0, end: int = DEPTH) -> np.ndarray:
-    """log10 probability, by language, of the symbols from begin to end of each spelled word, given all in sorted order, with their counts by language."""
-    m, languages = counts.shape
-    out, lens = np.zeros((m, languages)), np.array([len(w) for w in words])
-    width = min(int(lens.max()), end)
-    grid = np.frombuffer(b"".join(w[:width].ljust(width, b"\0") for w in words), np.uint8).reshape(m, width).astype(np.int64)
-    rows = np.arange(m)
-    node = np.zeros(m, np.int64)
-    if begin:
-        node = np.concatenate([[0], np.cumsum((grid[1:, :begin] != grid[:-1, :begin]).any(axis=1))])
-    for i in range(begin, width):
-        keep = lens[rows] > i
-        rows, node = rows[keep], node[keep]
-        if not len(rows):
-            break
-        symbol = grid[rows, i]
-        new = np.concatenate([[True], (node[1:] != node[:-1]) | (symbol[1:] != symbol[:-1])])
-        first = np.flatnonzero(new)
-        child = np.cumsum(new) - 1
-        c = np.add.reduceat(counts[rows], first, axis=0).astype(np.float64)
-        at = node[first]
-        new_node = np.concatenate([[True], at[1:] != at[:-1]])
-        heads, of = np.flatnonzero(new_node), np.cumsum(new_node) - 1
-        one = grid[rows[first], i - 1] if i else np.full(len(first), 32)
-        two = grid[rows[first], i - 2] if i > 1 else np.full(len(first), 32)
-        total = c.sum(axis=1)
-
-        def in_context(x, lower, heads=heads, of=of):
-            n, d, s = (np.add.reduceat(v, heads)[of] for v in (x, (x > 0).astype(np.float64), np.where(x > 0, lower, 0.0)))
-            return mixed(x, n, d, lower, s)
-
-        p = in_context(total, suffixes(two * 256 + one, symbol[first]))
-        for k in range(languages):
-            out[rows, k] += np.log10(in_context(c[:, k], p))[child]
-        node = child
-    if end == DEPTH:
-        for r in np.flatnonzero(lens > DEPTH):
-            s = np.frombuffer(words[r], np.uint8).astype(np.int64)
-            i = np.arange(DEPTH, len(s))
-            out[r] += np.log10(suffixes(s[i - 2] * 256 + s[i - 1], s[i])).sum()
-    return out
-
-
-def _suffix_counts(vocabulary: DataFrame, languages: int) -> tuple[np.ndarray, np.ndarray]:
-    """Training counts of three symbols within a spelled word, spaces before it: at most 2 ** 24 rows."""
-
-    def count(batches):
-        total: dict[int, int] = {}
-        for batch in batches:
-            words, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            words, n = [b"  " + spelled(w) for w, x in zip(words, n, strict=True) if x], n[n > 0]
-            if not words:
-                continue
-            lens = np.array([len(w) for w in words])
-            flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-            keys = flat[:-2] * 65536 + flat[1:-1] * 256 + flat[2:]
-            inside = np.ones(len(flat), bool)
-            inside[np.cumsum(lens) - 1] = inside[np.cumsum(lens) - 2] = False
-            inside = inside[: len(keys)]
-            found, at = np.unique(keys[inside], return_inverse=True)
-            sums = np.bincount(at, np.repeat(n, lens)[: len(keys)][inside])
-            for k, v in zip(found.tolist(), sums.tolist(), strict=True):
-                total[k] = total.get(k, 0) + int(v)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["key", "n"])
-
-    c = sum((F.col(f"c{k}") for k in range(1, languages)), F.col("c0"))
-    rows = vocabulary.select("w", c.alias("c")).mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).collect()
-    return np.array([r.key for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
-
-
-def model(vocabulary: DataFrame, languages: int) -> DataFrame:
-    """vocabulary with lp, the log10 probability of each word by language."""
-    spark, cs = vocabulary.sparkSession, [f"c{k}" for k in range(languages)]
-    begin = F.substring(F.concat(F.col("w"), F.when(F.col("w") == END, F.lit(b"")).otherwise(F.lit(b" "))), 1, 3)
-    top = sorted(vocabulary.groupBy(begin.alias("s")).agg(*(F.sum(c).alias(c) for c in cs)).collect(), key=lambda r: bytes(r.s))
-    suffixes = Suffixes(*_suffix_counts(vocabulary, languages))
-    names = [bytes(r.s) for r in top]
-    scores = code(names, np.array([[r[c] for c in cs] for r in top]), suffixes, 0, 3) if top else np.zeros((0, languages))
-    sent = spark.sparkContext.broadcast((suffixes, dict(zip(names, scores, strict=True))))
+    def __call__(self, three: np.ndarray) -> np.ndarray:
+        row = self.row[three >> 8]
+        return np.where(row >= 0, self.two[row, three & 255], self.one[three >> 8 & 255, three & 255])
+
+
+def code(g: np.ndarray, c: np.ndarray, low: Low) -> np.ndarray:
+    """log10 probability of the last byte of each gram after the others, given whole branches of grams with their counts."""
+    keys, p = None, None
+    for order in range(3, ORDER + 1):
+        own = g & np.uint64((1 << 8 * (order + 1)) - 1)
+        now, of = np.unique(own, return_inverse=True)
+        n = np.bincount(of, c, len(now))
+        shorter = now & np.uint64((1 << 8 * order) - 1)
+        lower = low(shorter.astype(np.int64)) if order == 3 else p[np.searchsorted(keys, shorter)]
+        context = now >> np.uint64(8)
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        first, at = np.flatnonzero(new), np.cumsum(new) - 1
+        total, kinds, known = (np.add.reduceat(v, first)[at] for v in (n, (n > 0).astype(np.float64), np.where(n > 0, lower, 0.0)))
+        keys, p = now, mixed(n, total, kinds, lower, known)
+    return np.log10(p[np.searchsorted(keys, g)])
+
+
+def model(counts: DataFrame) -> DataFrame:
+    """g, n_all and lp, the code length as log10 probability, of every gram of counts."""
+    three = F.col("g").bitwiseAND((1 << 24) - 1).alias("three")
+    found = counts.where("c > 0").groupBy(three).agg(F.sum("c").cast("double").alias("n")).toArrow()  # at most 2 ** 24 rows
+    low = counts.sparkSession.sparkContext.broadcast(Low(found["three"].to_numpy().astype(np.int64), found["n"].to_numpy()))
 
     def score(batches):
-        suffixes, tops = sent.value
         held: list[pa.RecordBatch] = []
 
-        def done(batch):
-            words = [spelled(w) for w in batch.column(1).to_pylist()]
-            counts = np.stack([batch.column(3 + k).to_numpy() for k in range(languages)], axis=1)
-            lp = code(words, counts, suffixes, 3) + np.stack([tops[w[:3]] for w in words])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1, dtype=np.int32) * languages), pa.array(lp.reshape(-1)))
-            hashes = np.array([xxhash.xxh64_intdigest(w) for w in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([batch.column(1), pa.array(hashes), batch.column(2), pa.array(counts.sum(axis=1)), lists], ["w", "hash", "n_all", "c", "lp"])
+        def done(parts):
+            g, n_all, c = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (1, 2, 3))
+            return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n_all), pa.array(code(g.view(np.uint64), c, low.value))], ["g", "n_all", "lp"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            # the branch that ends a batch goes on in the next
-            s = batch.column(0).to_pylist()
-            cut = next((i + 1 for i in range(len(s) - 2, -1, -1) if s[i] != s[-1]), 0)
-            if held and (cut or s[0] != held[-1].column(0)[len(held[-1]) - 1].as_py()):
-                ahead = 0 if s[0] != held[-1].column(0)[len(held[-1]) - 1].as_py() else next(i for i, x in enumerate(s) if x != s[0])
-                yield done(pa.Table.from_batches([*held, batch.slice(0, ahead)]).combine_chunks().to_batches()[0])
-                held.clear()
-                if cut > ahead:
-                    yield done(batch.slice(ahead, cut - ahead))
-                held.append(batch.slice(cut))
-            elif held:
-                held.append(batch)
-            else:
-                if cut:
-                    yield done(batch.slice(0, cut))
-                held.append(batch.slice(cut))
+            # the branch that ends a batch may go on in the next
+            s = batch.column(0).to_numpy()
+            if held and s[-1] != held[-1].column(0)[0].as_py():
+                cut = int(np.flatnonzero(s != s[-1])[-1]) + 1 if s[0] != s[-1] else 0
+                yield done([*held, batch.slice(0, cut)])
+                held, batch = [], batch.slice(cut)
+            elif not held and s[0] != s[-1]:
+                cut = int(np.flatnonzero(s != s[-1])[-1]) + 1
+                yield done([batch.slice(0, cut)])
+                batch = batch.slice(cut)
+            held.append(batch)
         if held:
-            yield done(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-
-    rows = vocabulary.select(begin.alias("s"), "w", "n_all", *cs).repartition("s").sortWithinPartitions("s", "w")
-    return saved(rows.mapInArrow(score, "w binary, hash bigint, n_all bigint, c bigint, lp array<double>"), "model")
+            yield done(held)
+
+    branch = F.shiftrightunsigned(F.col("g"), 8).bitwiseAND((1 << 24) - 1).alias("s")
+    rows = counts.select(branch, "g", "n_all", "c").repartition("s").sortWithinPartitions("s", "g")
+    return saved(rows.mapInArrow(score, "g bigint, n_all bigint, lp double"), "model")
+
+
+class Table:
+    """Hash table from grams to code lengths, with open addresses, read for many grams at a time."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(len(keys)).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, np.uint64(2**64 - 1)), np.zeros(1 << bits)
+        at, left = self._at(keys), np.arange(len(keys))
+        while len(left):
+            free = self.keys[at[left]] == self.keys.dtype.type(2**64 - 1)
+            slots, first = np.unique(at[left[free]], return_index=True)
+            put = left[free][first]
+            self.keys[slots], self.values[slots] = keys[put], values[put]
+            left = np.setdiff1d(left, put)
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * _ODD) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, 0 for keys that aren't there, and the places of those."""
+        at = self._at(keys)
+        out = self.values[at]
+        left = np.flatnonzero(self.keys[at] != keys)
+        out[left] = 0
+        at, missing = at[left], []
+        while len(left):
+            none = self.keys[at] == np.uint64(2**64 - 1)
+            missing.append(left[none])
+            left, at = left[~none], (at[~none] + 1) & (len(self.keys) - 1)
+            hit = self.keys[at] == keys[left]
+            out[left[hit]] = self.values[at[hit]]
+            left, at = left[~hit], at[~hit]
+        return out, np.concatenate(missing) if missing else left
+
+
+def _least(rows: DataFrame, head: int) -> int:
+    """Least n_all of which at most head rows have it or more. Frequencies are counted, and there are fewer of them than the root of the corpus."""
+    least, n = 1 << 62, 0
+    for r in sorted(rows.groupBy("n_all").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n_all")).limit(head).collect(), reverse=True):
+        if n + r.n > head:
+            break
+        least, n = r.n_all, n + r.n
+    return least
 
 
 class _Head(dict):
     def __init__(self):
-        self.tail = _Counts()
+        self.tail = Counter()
 
     def __missing__(self, word):
         self.tail[word] += 1
         return -1
 
 
+PART = "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, lp double, tail array<struct<hash:binary,n:bigint>>, grams array<struct<g:bigint,n:bigint>>"
+
+
 def score_documents(docs: DataFrame, *, held_out=None, head: int = HEAD) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs (doc_id, text[, lang]).
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of docs (doc_id, text).
 
     held_out: Column of bool; without one, documents whose crc32(doc_id as text) mod 5 is 1.
     """
@@ -242,76 +274,69 @@ def score_documents(docs: DataFrame, *, held_out=None, head: int = HEAD) -> Data
     bounded_batches(spark)
     if held_out is None:
         held_out = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8")) % 5 == 1
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"), lang.alias("lang"))
-    shares = {r.lang: r.n for r in docs.where(~F.col("held_out")).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    languages = len(shares) + 1  # one more for all other languages
-    k = F.lit(languages - 1)
-    for i, x in enumerate(shares):
-        k = F.when(F.col("lang") == x, i).otherwise(k)
-    docs = docs.withColumn("k", k)
-    n_docs = docs.where(~F.col("held_out")).count()
-    prior = np.log10(np.array([*shares.values(), n_docs - sum(shares.values())]) + 0.5) - np.log10(n_docs + 0.5 * languages)
-
-    scored = model(_vocabulary(docs, languages), languages)
-    total = scored.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
+    counts = _counts(docs)
+    scored, words = model(counts.where("w is null").select("g", "n_all", "c")), counts.where("g is null").select("w", "n_all", "c")
+
+    total = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = total.n or 0, total.v or 0
     base = lambda c: np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
-    # the least frequency of the head: frequencies are counted, and there are fewer of them than the root of the corpus
     short = F.length("w") <= HEAD_BYTES
-    least, words = 1 << 62, 0
-    for r in sorted(scored.where(short).groupBy("n_all").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n_all")).limit(head).collect(), reverse=True):
-        if words + r.words > head:
-            break
-        least, words = r.n_all, words + r.words
-    in_head = short & (F.col("n_all") >= least)
-    top = scored.where(in_head).select("w", "c", "lp").toArrow()  # at most head rows of HEAD_BYTES and a few numbers
+    in_head = short & (F.col("n_all") >= _least(words.where(short), head))
+    top = words.where(in_head).select("w", "c").toArrow()  # at most head rows of HEAD_BYTES
     c = np.append(top["c"].to_numpy(), 0).astype(np.int64)
-    lp = np.append(top["lp"].combine_chunks().flatten().to_numpy(zero_copy_only=False), np.zeros(languages)).reshape(-1, languages)
-    sent = spark.sparkContext.broadcast((top["w"].to_pylist(), np.append(base(c[:-1]), 0.0), (c > 0).astype(np.int64), lp))
-    del top
+    often = F.col("n_all") >= _least(scored, 2 * head)
+    best = scored.where(often).select("g", "lp").toArrow()  # at most 2 * head rows
+    sent = spark.sparkContext.broadcast((top["w"].to_pylist(), np.append(base(c[:-1]), 0.0), (c > 0).astype(np.int64), Table(best["g"].to_numpy().view(np.uint64), best["lp"].to_numpy())))
+    del top, best
 
     def add(batches):
-        words, bases, known, lps = sent.value
+        names, bases, known, lengths = sent.value
         table = _Head()
-        table.update(zip(words, range(len(words)), strict=True))
+        table.update(zip(names, range(len(names)), strict=True))
         part, at = TaskContext.get().partitionId() << 40, 0
         for batch in slices(batches):
-            out: list[list] = [[] for _ in range(8)]
-            for doc, text, held in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            held, sums, tails, texts = batch.column(2), [], [], []
+            for text in batch.column(1).to_pylist():
                 said = tokens(text)
                 idx = np.fromiter(map(table.__getitem__, said), np.int64, len(said))
-                tail, table.tail = table.tail, _Counts()
-                hashes = np.array([xxhash.xxh64_intdigest(w) for w in tail], np.uint64).view(np.int64)
-                for x, y in zip(out, (part + at, doc, held, len(said), int(known[idx].sum()), float(bases[idx].sum()), lps[idx].sum(axis=0), (hashes, list(tail.values()))), strict=True):
-                    x.append(y)
-                at += 1
-            tails = [{"hash": int(a), "n": b} for t in out[7] for a, b in zip(*t, strict=True)]
-            ends = np.concatenate([[0], np.cumsum([len(t[1]) for t in out[7]])]).astype(np.int32)
-            kind = pa.list_(pa.struct([("hash", pa.int64()), ("n", pa.int64())]))
+                tails.append(table.tail)
+                table.tail = Counter()
+                sums.append((len(said), int(known[idx].sum()), float(bases[idx].sum())))
+                texts.append(running(said))
+            keys, starts = grams(texts)
+            lp, missing = lengths(keys)
+            # the other grams of each document, counted
+            doc = np.searchsorted(starts, missing, "right") - 1
+            order = np.lexsort((keys[missing], doc))
+            doc, own = doc[order], keys[missing][order]
+            first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (own[1:] != own[:-1])])) if len(doc) else doc
+            ends = np.searchsorted(doc[first], np.arange(len(texts) + 1))
+            rare = pa.StructArray.from_arrays([pa.array(own[first].view(np.int64)), pa.array(np.diff(np.append(first, len(doc))))], ["g", "n"])
+            hashes = pa.array([hashlib.md5(w).digest() for t in tails for w in t], pa.binary())
+            tail = pa.StructArray.from_arrays([hashes, pa.array([k for t in tails for k in t.values()], pa.int64())], ["hash", "n"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.float64()),
-                    pa.array([x.tolist() for x in out[6]], pa.list_(pa.float64())), pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, kind.value_type)).cast(kind),
+                    pa.array(part + at + np.arange(len(texts))), batch.column(0), held, *(pa.array([s[i] for s in sums], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))),
+                    pa.array(np.add.reduceat(lp, starts)), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, tails)]), pa.int32()), tail), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare),
                 ],
-                ["rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "lp", "tail"],
+                [x.split()[0] for x in PART.split(", ")],
             )
+            at += len(texts)
 
-    schema = "rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, lp array<double>, tail array<struct<hash:bigint,n:bigint>>"
-    parts = saved(docs.select("doc_id", "text", "held_out").mapInArrow(add, schema), "heads")
-    tail = parts.select("rid", F.explode("tail").alias("t")).select("rid", F.col("t.hash").alias("hash"), F.col("t.n").alias("n"))
-    rest = scored.where(~in_head).select("hash", "c", *(F.get("lp", F.lit(k)).alias(f"lp{k}") for k in range(languages)))
+    parts = saved(docs.select("doc_id", "text", "held_out").mapInArrow(add, PART), "heads")
+    rest = words.where(~in_head).select(F.unhex(F.md5("w")).alias("hash"), "c")
     each = F.log10((F.col("c") + 0.5) / F.lit(n + 0.5 * (v + 1)))
-    sums = [F.sum(F.col("n") * F.col(f"lp{k}")).alias(f"lp{k}") for k in range(languages)]
-    tails = tail.join(rest, "hash").groupBy("rid").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"), F.sum(F.col("n") * each).alias("tail_base"), *sums)
-    out = parts.drop("tail").join(tails, "rid", "left")
-    logs = F.array(*(F.get("lp", F.lit(k)) + F.coalesce(f"lp{k}", F.lit(0.0)) + F.lit(float(prior[k])) for k in range(languages)))
-    out = out.withColumn("logs", logs).withColumn("most", F.array_max("logs"))
-    score = F.col("most") + F.log10(F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - F.col("most"))))
+    tail = parts.select("rid", F.explode("tail").alias("t")).select("rid", "t.*").join(rest, "hash")
+    tail = tail.select("rid", F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), (F.col("n") * each).alias("base"), F.lit(0.0).alias("lp"))
+    rare = parts.select("rid", F.explode("grams").alias("t")).select("rid", "t.*").join(scored.where(~often).select("g", "lp"), "g")
+    rare = rare.select("rid", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (F.col("n") * F.col("lp")).alias("lp"))
+    more = tail.unionByName(rare).groupBy("rid").agg(F.sum("known").alias("known"), F.sum("base").alias("more_base"), F.sum("lp").alias("more_lp"))
+    out = parts.drop("tail", "grams").join(more, "rid", "left")
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("tail_base", F.lit(0.0))).alias("base_score"),
-        score.alias("score"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("lp") + F.coalesce("more_lp", F.lit(0.0))).alias("score"),
     )

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,53 +12,35 @@ from . import corpus
 
 
 def plain_model(rows):
-    """log10 probability of a word in a language by the definition, one context after another."""
-    train = Counter()
-    langs = {}
+    """log10 probability of a text by the definition, byte after byte, and one context after another."""
+    ctx, words = {}, Counter()
     for r in rows:
         if not held(r[0]):
-            lang = r[2] or ""
-            langs[lang] = langs.get(lang, 0) + 1
-            train.update((lang, w) for w in ppm.tokens(r[1]))
-    ctx = {}
-
-    def see(key, symbol, n):
-        ctx.setdefault(key, Counter())[symbol] += n
-
-    for (lang, w), n in train.items():
-        s = ppm.spelled(w)
-        for i, b in enumerate(s):
-            see(("lang", lang, s[:i]), b, n)
-            see(("all", s[:i]), b, n)
-            before = (b"  " + s[:i])[-2:]
-            see(("two", before), b, n)
-            see(("one", before[1:]), b, n)
-            see(("zero",), b, n)
-
-    def prob(keys, symbol):
-        if not keys:
-            return 1 / 256
-        seen = ctx.get(keys[0])
-        if not seen:
-            return prob(keys[1:], symbol)
-        n, d = sum(seen.values()), len(seen)
-        if symbol in seen:
-            return (2 * seen[symbol] - 1) / (2 * n)
-        return d / (2 * n) * prob(keys[1:], symbol) / (1 - sum(prob(keys[1:], x) for x in seen))
-
+            words.update(ppm.tokens(r[1]))
+            s = b"\n" * 5 + ppm.running(ppm.tokens(r[1]))
+            for i in range(5, len(s)):
+                for k in range(6):
+                    ctx.setdefault(s[i - k : i], Counter())[s[i]] += 1
     cache = {}
 
-    def word(lang, w):
-        if (lang, w) not in cache:
-            s, total = ppm.spelled(w), 0.0
-            for i, b in enumerate(s):
-                before = (b"  " + s[:i])[-2:]
-                keys = [("lang", lang, s[:i]), ("all", s[:i])] if i < ppm.DEPTH else []
-                total += math.log10(prob([*keys, ("two", before), ("one", before[1:]), ("zero",)], b))
-            cache[lang, w] = total
-        return cache[lang, w]
+    def prob(before, symbol):
+        if (before, symbol) not in cache:
+            seen, out = ctx.get(before), None
+            lower = lambda x: prob(before[1:], x) if before else 1 / 256
+            if not seen:
+                out = lower(symbol)
+            elif symbol in seen:
+                out = (2 * seen[symbol] - 1) / (2 * seen.total())
+            else:
+                out = len(seen) / (2 * seen.total()) * lower(symbol) / (1 - sum(map(lower, seen)))
+            cache[before, symbol] = out
+        return cache[before, symbol]
+
+    def score(text):
+        s = b"\n" * 5 + ppm.running(ppm.tokens(text))
+        return sum(math.log10(prob(s[i - 5 : i], s[i])) for i in range(5, len(s)))
 
-    return train, langs, word
+    return words, score
 
 
 def held(doc):
@@ -66,46 +49,62 @@ def held(doc):
 
 @pytest.mark.parametrize("head", [0, 5, 1 << 18])
 def test_scores_by_definition(spark, head):
-    rows = [r for r in corpus.rows(7, 24) if len(r[1] or "") < 20_000] + [(3000, "A" * 100 + " " + "B" * 70, "fr", "", 1, "", 1, "")]
-    train, langs, word = plain_model(rows)
-    c = Counter()
-    for (_, w), n in train.items():
-        c[w] += n
-    total, v = sum(c.values()), len(c)
-    docs = sum(langs.values())
-    names = [x for x, _ in sorted(langs.items(), key=lambda x: (-x[1], x[0]))]
-    prior = [math.log10((langs[x] + 0.5) / (docs + 0.5 * (len(names) + 1))) for x in names] + [math.log10(0.5 / (docs + 0.5 * (len(names) + 1)))]
-
-    def expect(text):
-        said = ppm.tokens(text)
-        logs = [p + sum(word(x, w) for w in said) for p, x in zip(prior, [*names, "\0none"])]
-        most = max(logs)
-        return len(said), sum(c[w] > 0 for w in said), sum(math.log10((c[w] + 0.5) / (total + 0.5 * (v + 1))) for w in said), most + math.log10(sum(10 ** (x - most) for x in logs))
-
+    rows = [r for r in corpus.rows(7, 24) if len(r[1] or "") < 20_000] + [(3000, "A" * 100 + " " + "B" * 70, "fr", "", 1, "", 1, ""), (3001, "x\0y 日本語テスト\x1c語", "", "", 1, "", 1, "")]
+    c, score = plain_model(rows)
+    total, v = c.total(), len(c)
+    base = lambda w: math.log10((c[w] + 0.5) / (total + 0.5 * (v + 1)))
     out = ppm.score_documents(spark.createDataFrame(rows, corpus.SCHEMA).repartition(3), head=head)
     assert out.count() == len(rows)
     want = {}
     for r in rows:
-        want[r[0]] = expect(r[1])
+        said = ppm.tokens(r[1])
+        want[r[0]] = len(said), sum(c[w] > 0 for w in said), sum(map(base, said)), score(r[1])
     for r in out.collect():
-        n, known, base, score = want[r.doc_id]
+        n, known, first, best = want[r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (n, known, total, held(r.doc_id))
-        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, rel=1e-9)
-
-
-def test_probabilities_add_up(spark):
-    """Over all symbols of a context, seen or not."""
-    import numpy as np
-
-    suffixes = ppm.Suffixes(np.array([32 << 16 | 32 << 8 | 97, 32 << 16 | 97 << 8 | 98, 97 << 16 | 98 << 8 | 32]), np.array([3, 2, 2]))
-    for before in (32 << 8 | 32, 97 << 8 | 98, 1 << 8 | 2):
-        assert suffixes(np.full(256, before), np.arange(256)).sum() == pytest.approx(1)
-    words = sorted([b"a" + bytes([x]) + b" " for x in range(33, 256)] + [b"a "])
-    counts = np.zeros((len(words), 2), int)
-    counts[:3] = [[2, 0], [1, 1], [0, 4]]
-    p = 10 ** ppm.code(words, counts, suffixes, 1, 2)
-    rest = 10 ** ppm.code([b"a" + bytes([x]) for x in range(0, 256)], np.zeros((256, 2), int), suffixes, 1, 2)
-    assert (p.sum(axis=0) <= 1.0 + 1e-9).all() and rest.sum(axis=0) == pytest.approx([1, 1])
+        assert r.base_score == pytest.approx(first) and r.score == pytest.approx(best, rel=1e-9)
+
+
+def test_probabilities_add_up():
+    """Over all bytes after a context, seen or not."""
+    g = lambda s: int.from_bytes(s, "big")
+    low = ppm.Low(np.array([g(b"  a"), g(b" ab"), g(b"ab ")]), np.array([3, 2, 2]))
+    for before in (b"  ", b"ab", b"\1\2"):
+        assert low(np.array([g(before + bytes([x])) for x in range(256)])).sum() == pytest.approx(1)
+    for before in (b"xy ab", b"zy ab", b"qq ab", b"qqqab"):
+        keys = sorted({g(before + bytes([x])) for x in range(256)} | {g(b"zy abc"), g(b"ww abd")})
+        seen = {g(b"xy ab "): 3, g(b"xy abq"): 1, g(b"zy abc"): 2, g(b"ww abd"): 1, g(b"qqqab!"): 4}
+        p = 10 ** ppm.code(np.array(keys, np.uint64), np.array([seen.get(k, 0) for k in keys]), low)
+        assert p[[keys.index(g(before + bytes([x]))) for x in range(256)]].sum() == pytest.approx(1)
+
+
+def test_table_finds_all():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 48, 5000, np.uint64))
+    table = ppm.Table(keys[::2], np.arange(len(keys[::2]), dtype=float))
+    values, missing = table(keys)
+    assert sorted(missing.tolist()) == list(range(1, len(keys), 2)) and (values[::2] == np.arange(len(keys[::2]))).all()
+    assert len(ppm.Table(keys[:0], np.zeros(0))(keys)[1]) == len(keys)
+
+
+def test_branches_larger_than_batches(spark):
+    """A model of batches of a few grams is that of large ones."""
+    rows = corpus.frame(spark)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    score = lambda: sorted(tuple(r) for r in ppm.score_documents(rows).select("doc_id", "n_tokens", F.round("score", 6)).fillna(-9).collect())
+    whole = score()
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert score() == whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_order_of_words_counts(spark):
+    """The same words in an order that training has, and in another."""
+    rows = [(i, "a cold wind blew over the empty hill"[:36], "", "", 1, "", 1, "") for i in range(30)] + [(100, "a cold wind blew over the empty hill"[:36], "", "", 1, "", 1, ""), (101, "empty a hill over blew wind the cold", "", "", 1, "", 1, "")]
+    out = {r.doc_id: r for r in ppm.score_documents(spark.createDataFrame(rows, corpus.SCHEMA), held_out=F.col("doc_id") >= 100).collect()}
+    assert out[100].base_score == pytest.approx(out[101].base_score) and out[100].score > out[101].score + 1
 
 
 def test_own_split_and_empty(spark):
@@ -113,6 +112,7 @@ def test_own_split_and_empty(spark):
     out = ppm.score_documents(df.drop("lang"), held_out=F.lit(False))
     assert out.where("held_out").count() == 0 and out.where("score is null or isnan(score)").count() == 0
     assert ppm.score_documents(corpus.empty(spark)).count() == 0
+    assert ppm.score_documents(df, held_out=F.lit(True)).where("isnan(score) or score > 0").count() == 0
 
 
 def test_better_than_base_on_held_out_words(spark):
