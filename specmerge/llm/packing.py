@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, saved, slices
-from .tokens import encoder, with_end
+from .tokens import as_binary, encoder, id_type, with_end
 
 WINDOW = 4096
 K1, B = 1.2, 0.75
@@ -41,18 +41,12 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         kind = id_type(coder.size, end_id)
         for some in slices(batches, 2000):
             flat, n = with_end(*coder.encode(some.column(1)), end_id)
-            ends = np.concatenate([[0], np.cumsum(n) * kind.itemsize]).astype(np.int32)
-            ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(kind))])
-            yield pa.RecordBatch.from_arrays([some.column(0), ids], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([some.column(0), as_binary(flat, n, kind)], ["doc_id", "ids"])
         coder.rest()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(encode, "doc_id bigint, ids binary")
 
 
-def id_type(vocabulary: int, end_id: int) -> np.dtype:
-    return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
-
-
 def _decode(batch, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a batch in a row and the number of each document's."""
     ids = batch.column(1)
@@ -119,38 +113,27 @@ class Shard:
         yield from found[np.argsort(-scores[found], kind="stable")]
 
     def order(self, window: int):
-        """All documents, each window's seed followed by its neighbours."""
-        room, first = window, 0
+        """All documents: each seed, then its neighbours until the window is full. The document that crosses the end is the next seed."""
+        at, first, seed = 0, 0, None
         while True:
-            while first < len(self.docs) and not self.unused[first]:
-                first += 1
-            if first == len(self.docs):
-                return
-            seed = first
-            while True:
-                self.unused[seed] = False
-                yield seed
-                size = len(self.docs[seed])
-                if size < room:
-                    break
-                room = window - (size - room) % window  # the rest of seed opens the next window
-                if room < window:
-                    break
+            if seed is None:
                 while first < len(self.docs) and not self.unused[first]:
                     first += 1
                 if first == len(self.docs):
                     return
                 seed = first
-            if size < room:
-                room -= size
-            for near in self.neighbours(seed):
-                self.unused[near] = False
-                yield int(near)
-                size = len(self.docs[near])
-                if size >= room:
-                    room = window - (size - room) % window
+                self.unused[seed] = False
+                yield seed
+                at += len(self.docs[seed])
+            end = -(-at // window) * window  # of the window that the seed is in
+            near, seed = self.neighbours(seed) if at < end else (), None
+            for x in near:
+                self.unused[x] = False
+                yield int(x)
+                at += len(self.docs[x])
+                if at >= end:
+                    seed = int(x) if at > end else None
                     break
-                room -= size
 
 
 def lay(sizes: list[int], window: int) -> list[tuple[int, int, int, int, int]]:

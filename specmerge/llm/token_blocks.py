@@ -14,7 +14,8 @@ A dataset is a folder of Parquet files with a segment per row, written and commi
 lost task leaves nothing behind; segments are in ascending doc_id order by (part, segment).
 
 Defined cases: null text is empty; a null doc_id comes first and stays null; rows that repeat a doc_id are
-documents of their own; other columns are not read. An empty table gives an empty dataset.
+documents of their own, in any order; other columns are not read. An empty table gives an empty dataset. Special
+strings of the tokenizer are special in a text too, as the tokenizers library has it.
 """
 
 from __future__ import annotations
@@ -24,17 +25,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, slices
-from .tokens import encoder, with_end
+from .tokens import as_binary, encoder, id_type, with_end
 
 BLOCK = 256
 PERCENTILES = (50, 75, 90, 95, 98, 100)
 HEAD = struct.Struct("<4sIIQQ")
-SEGMENT_IDS = 2_000_000
+SEGMENT_IDS = 500_000
+#: Values that a reader unpacks at a time, but for longer documents.
+STEP_IDS = 1 << 18
 
 _BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 
@@ -139,37 +141,67 @@ class Segment:
         return rows.reshape(-1)[begin - first * BLOCK : end - first * BLOCK]
 
 
+def _bounds(docs: DataFrame, parts: int) -> np.ndarray:
+    """At most parts - 1 doc_ids that part the rows in ascending ranges; an id that fills ranges of its own is there more than once."""
+    shares = [k / parts for k in range(1, parts)]
+    found = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, shares)), F.lit(max(1000, 10 * parts))).alias("q")).first().q if shares else None
+    return np.array(found or [], np.int64)
+
+
 def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, segment_ids: int = SEGMENT_IDS) -> None:
-    """Encode the text of docs and write the dataset in ascending doc_id order. tokenizer: path of its file."""
+    """Encode the text of docs and write the dataset in ascending doc_id order. tokenizer: path of its file.
+
+    Texts are encoded where they are read, and ids are dealt to tasks by ranges of doc_id, whose bounds come from that
+    column alone. Rows of an id that makes up several ranges are dealt to all of them.
+    """
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(docs, parts)
 
     def encode(batches):
-        coder, part = encoder(tokenizer), TaskContext.get().partitionId()
-        segment = start = held = 0
+        coder, at = encoder(tokenizer), 0
+        kind = id_type(coder.size, end_id)
+        for some in slices(batches, 2000):
+            flat, n = with_end(*coder.encode(some.column(1)), end_id)
+            there = some.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = some.column(0).fill_null(0).to_numpy()
+            low, high = np.searchsorted(bounds, ids), np.searchsorted(bounds, ids, "right")
+            part = np.where(there, low + (at + np.arange(len(ids))) % (high - low + 1), 0)
+            at += len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), some.column(0), as_binary(flat, n, kind)], ["part", "doc_id", "ids"])
+        coder.rest()
+
+    def write(batches):
+        kind = id_type(encoder(tokenizer).size, end_id)
+        now, segment = None, 0
+        start = held = 0
         doc_ids, sizes, ids = [], [], []
 
         def flush():
             nonlocal segment, start, held
             whole = np.concatenate(ids)
-            row = [pa.array([part]), pa.array([segment]), pa.array([start]), pa.array([len(whole)]), pa.array([encode_segment(doc_ids, np.array(sizes), whole)], pa.binary())]
+            row = [pa.array([now]), pa.array([segment]), pa.array([start]), pa.array([len(whole)]), pa.array([encode_segment(doc_ids, np.array(sizes), whole)], pa.binary())]
             segment, start, held = segment + 1, start + len(whole), 0
             doc_ids.clear(), sizes.clear(), ids.clear()
             return pa.RecordBatch.from_arrays(row, ["part", "segment", "part_start", "n_ids", "data"])
 
-        for some in slices(batches, 2000):
-            flat, n = with_end(*coder.encode(some.column(1)), end_id)
-            doc_ids += some.column(0).to_pylist()
-            sizes += n.tolist()
-            ids.append(flat)
-            held += len(flat)
-            if held >= segment_ids:
-                yield flush()
+        for some in slices(batches):
+            for part, doc_id, data in zip(*(some.column(i).to_pylist() for i in range(3)), strict=True):
+                if doc_ids and (part != now or held >= segment_ids):
+                    yield flush()
+                if part != now:
+                    now, segment, start = part, 0, 0
+                x = np.frombuffer(data, kind)
+                doc_ids.append(doc_id), sizes.append(len(x)), ids.append(x.astype(np.uint32))
+                held += len(x)
         if doc_ids:
             yield flush()
-        coder.rest()
 
-    bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows.mapInArrow(encode, "part bigint, segment bigint, part_start bigint, n_ids bigint, data binary").write.mode("overwrite").parquet(path)
+    coded = docs.mapInArrow(encode, "part int, doc_id bigint, ids binary")
+    rows = coded.repartitionById(parts, "part").sortWithinPartitions("part", "doc_id")
+    rows.mapInArrow(write, "part bigint, segment bigint, part_start bigint, n_ids bigint, data binary").write.mode("overwrite").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str, *, with_ids: bool = True) -> DataFrame:
@@ -182,18 +214,23 @@ def read_blocks(spark: SparkSession, path: str, *, with_ids: bool = True) -> Dat
 
     def decode(batches):
         for batch in batches:
-            for part, start, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for part, start, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 segment = Segment(data)
-                ids = segment.read().astype("<u4")
                 ends = np.cumsum(segment.sizes)
-                begins = ends - segment.sizes
-                view = memoryview(ids).cast("B")
-                out = [
-                    pa.array(segment.doc_ids, pa.int64()), pa.array(begins + start + before.value[part], pa.int64()), pa.array(segment.sizes, pa.int64()),
-                    pa.array([zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], pa.int64()),
-                ]
-                if with_ids:
-                    out.append(pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(ids.astype(np.int64))))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(out)])
+                i = 0
+                while i < len(ends):  # some documents at a time
+                    first = int(ends[i] - segment.sizes[i])
+                    j = max(i + 1, int(np.searchsorted(ends, first + STEP_IDS, "right")))
+                    ids = segment.read(first, int(ends[j - 1])).astype("<u4")
+                    here = ends[i:j] - first
+                    begins, view = here - segment.sizes[i:j], memoryview(ids).cast("B")
+                    out = [
+                        pa.array(segment.doc_ids[i:j], pa.int64()), pa.array(begins + first + start + before.value[part], pa.int64()), pa.array(segment.sizes[i:j], pa.int64()),
+                        pa.array([zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(begins.tolist(), here.tolist(), strict=True)], pa.int64()),
+                    ]
+                    if with_ids:
+                        out.append(pa.ListArray.from_arrays(pa.array([0, *here], pa.int32()), pa.array(ids.astype(np.int64))))
+                    yield pa.RecordBatch.from_arrays(out, ["doc_id", "start", "n_tokens", "ids_crc32", "ids"][: len(out)])
+                    i = j
 
     return segments.select("part", "part_start", "data").mapInArrow(decode, schema)

@@ -1,8 +1,8 @@
 """Encoding of whole texts with public tokenizers, reusing the ids of chunks seen before.
 
 A text is cut only where the tokenizer's own splitting always cuts, so that the ids of the pieces, put
-together, are the ids of the text; texts with other white space than single spaces and newlines go to the
-tokenizer whole. Ids of chunks are kept in a table of bounded size.
+together, are the ids of the text; texts with other white space than single spaces and newlines, and texts that
+hold one of the tokenizer's special strings, go to it whole. Ids of chunks are kept in a table of bounded size.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 import functools
 import itertools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,9 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts that may hold an added token, whatever its case.
+        self.special = "(?i)" + "|".join(special) if special else None
         self.max_entries, self.step_chars = max_entries, step_chars
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
@@ -138,17 +141,24 @@ class ChunkEncoder:
             i = j
         return (np.concatenate(ids), np.concatenate(sizes)) if ids else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Places of the texts that can't be cut."""
+        patterns = [_ODD_SPACE] * self.keeps_space + [self.special] * (self.special is not None)
+        found = np.zeros(len(texts), bool)
+        for p in patterns:
+            found |= pc.match_substring_regex(texts, p).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(found)
+
     def _step(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.table) > self.max_entries:
             self._forget(self.max_entries // 3)
-        whole: list[tuple[int, str]] = []
+        odd = self._whole(texts)
+        whole = [(int(k), texts[int(k)].as_py()) for k in odd]
+        if whole:
+            keep = np.ones(len(texts), bool)
+            keep[odd] = False
+            texts = pc.if_else(pa.array(keep), texts, "")
         if self.keeps_space:
-            odd = np.flatnonzero(pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False))
-            whole = [(int(k), texts[int(k)].as_py()) for k in odd]
-            if whole:
-                keep = np.ones(len(texts), bool)
-                keep[odd] = False
-                texts = pc.if_else(pa.array(keep), texts, "")
             # a chunk that begins a line has its newline; one more newline before the text goes again below
             texts = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
             texts = pc.replace_substring_regex(texts, "([a-z])([.,]+)( |$)", rf"\1 {GLUE}\2\3")
@@ -169,8 +179,10 @@ class ChunkEncoder:
         bounds = bounds - bounds[0]
         self.hits[own] += np.bincount(coded.indices.to_numpy(), minlength=len(own))
         if whole:
-            each = self._ids(["\n"]) + self._ids([t for _, t in whole])
-            each = [np.concatenate([each[0], x]) for x in each[1:]]
+            each = self._ids([t for _, t in whole])
+            if self.keeps_space:
+                newline = self._ids(["\n"])[0]
+                each = [np.concatenate([newline, x]) for x in each]
             used, first = self.used, len(self.table)
             self._store(first, np.concatenate(each), np.array([len(x) for x in each]))
             at[bounds[[k for k, _ in whole]]] = np.arange(first, first + len(each))
@@ -190,6 +202,17 @@ def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray,
     return np.insert(ids, np.cumsum(sizes), end).astype(np.uint32), sizes + 1
 
 
+def id_type(vocabulary: int, end_id: int) -> np.dtype:
+    """Little-endian unsigned type that holds all ids."""
+    return np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4")
+
+
+def as_binary(ids: np.ndarray, sizes: np.ndarray, kind: np.dtype) -> pa.Array:
+    """A binary value of kind for each text's ids."""
+    ends = np.concatenate([[0], np.cumsum(sizes) * kind.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype(kind))])
+
+
 @functools.lru_cache(4)
 def encoder(path: str) -> ChunkEncoder:
     """One encoder per worker process, so that tasks share what it has learnt."""

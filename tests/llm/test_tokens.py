@@ -1,24 +1,37 @@
 """Token files: exact round trips, and ids equal to the tokenizer's own."""
 
+import functools
+
 import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from specmerge.llm.token_blocks import Segment, encode_segment, pack, read_blocks, unpack, write_blocks
 from specmerge.llm.tokens import ChunkEncoder, encoder
 
-ODD = ["", " ", "a ", " a", "a\nb", "a \nb", "\n\n", "a\tb  c", "\x01", "a \x01 b", "<|endoftext|> a", "it's", "a\x1cb", "日本語 テスト", "Σ ΣΑΣ."]
+ODD = ["a <|endoftext|> b", "x<|startoftext|>y<|endoftext|>", "<|ENDOFTEXT|> a", "", " ", "a ", " a", "a\nb", "a \nb", "\n\n", "a\tb  c", "\x01", "a \x01 b", "<|endoftext|> a", "it's", "a\x1cb", "日本語 テスト", "Σ ΣΑΣ."]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 @settings(max_examples=60, deadline=None)
 @given(texts=st.lists(st.one_of(st.text(alphabet="ab \n\tÉ'.1\x01", max_size=30), st.sampled_from(ODD)), max_size=6))
 def test_ids_are_the_tokenizers(name, texts):
-    coder = encoder(public_tokenizers.path(name))
-    ids, sizes = coder.encode(texts)
-    assert [ids[e - n : e].tolist() for e, n in zip(np.cumsum(sizes).tolist(), sizes.tolist())] == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, sizes = encoder(public_tokenizers.path(name)).encode(texts)
+    assert [ids[e - n : e].tolist() for e, n in zip(np.cumsum(sizes).tolist(), sizes.tolist())] == [plain(name).encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@functools.cache
+def plain(name):
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def test_special_strings():
+    assert encoder(public_tokenizers.path("byte_bpe_50k.json")).encode(["a <|endoftext|> b"])[0].tolist() == [64, 220, 50256, 275]
+    assert encoder(public_tokenizers.path("word_bpe_49k.json")).encode(["A  <|endoftext|> b"])[0].tolist() == [320, 49407, 321]
 
 
 def test_table_of_chunks_stays_bounded():
@@ -54,8 +67,19 @@ def test_dataset(spark, tmp_path):
     at = 0
     texts = {None: "z", -5: "", 1: "", 2: "a\nb  c", 3: "b c"}
     for r in out:
-        want = [*encoder(path).tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
+        want = [*plain("byte_bpe_50k.json").encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
         assert (r.start, r.n_tokens, r.ids) == (at, len(want), want)
         at += len(want)
     write_blocks(df.limit(0), f"{tmp_path}/e", path)
     assert read_blocks(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_hot_id_is_dealt_to_many_tasks(spark, tmp_path):
+    """An id with most of the rows: its rows lie in several parts, and the order holds."""
+    df = spark.range(400).select(F.when(F.col("id") % 4 > 0, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("a "), F.col("id").cast("string")).alias("text"))
+    write_blocks(df, f"{tmp_path}/t", public_tokenizers.path("byte_bpe_50k.json"), segment_ids=50)
+    out = sorted(read_blocks(spark, f"{tmp_path}/t").collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in out] == sorted(r.doc_id for r in df.collect())
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(out, out[1:], strict=False))
+    assert spark.read.parquet(f"{tmp_path}/t").select("part").distinct().count() == 4
+    assert sorted(tuple(r.ids) for r in out) == sorted((*plain("byte_bpe_50k.json").encode(r.text, add_special_tokens=False).ids, 2) for r in df.collect())
