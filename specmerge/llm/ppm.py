@@ -3,9 +3,11 @@ r"""Language-model scores of documents by prediction by partial matching over by
 A document is the running bytes of its words, A-Z lower-cased, each followed by a space, and a newline at the end;
 before it stand newlines. A byte is predicted from the ``ORDER`` bytes before it, across spaces and word ends,
 however long a word is. Escape goes order by order: from ``ORDER`` bytes to one less, down to none and then to
-all 256 bytes alike. A context that was seen n times with d different bytes gives a byte seen c times
-(2 c - 1) / (2 n) and keeps d / (2 n) for escape (method D). On escape, the next order's probabilities hold
-without the bytes seen so far: they are divided by what those leave (symbol exclusion). The model is pretrained on the training documents.
+all 256 bytes alike. How likely an escape is, is estimated from the training text itself: contexts are put in
+classes by how often they were seen, n, and with how many different bytes, d, and the chance is how often a byte of such a
+context would be new if it were left out (a context's d / (2 n), method D, counts as two more cases). What escape leaves
+is shared by (c - 1 / 2) / (n - d / 2) for a byte seen c times. On escape, the next order's probabilities hold without
+the bytes seen so far: they are divided by what those leave (symbol exclusion). The model is pretrained on the training documents.
 
 1. Tasks count the grams, ORDER bytes and the byte after them, of their documents; an aggregation sums them. A gram is
    a 64-bit number and no hash, so that counts are exact.
@@ -125,10 +127,41 @@ def _counts(docs: DataFrame) -> DataFrame:
     return saved(found.groupBy("g", "w").agg(F.sum("n_all").alias("n_all"), F.sum("c").alias("c")), "counts")
 
 
-def mixed(c, n, d, lower, seen_lower):
+#: Classes of n and of d; (9 to 15, 16 to 31, ... make one each).
+CLASSES = (72, 16)
+
+
+def _class(x: np.ndarray, single: int) -> np.ndarray:
+    return np.where(x <= single, x, single + np.frexp(x)[1]).astype(np.int64)
+
+
+def _classes(n: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of a context by how often it was seen and with how many different bytes."""
+    return _class(n, 8), _class(d, 4)
+
+
+def left_out(n: np.ndarray, d: np.ndarray, once: np.ndarray, times: np.ndarray | int = 1) -> np.ndarray:
+    """(2, classes of n, classes of d): escapes and stays if each byte in turn is predicted from all others, over contexts with n, d and ``once``, the bytes seen once."""
+    out = np.zeros((2, *CLASSES))
+    n, d, once, times = (np.broadcast_to(np.asarray(x, np.float64), np.shape(n)) for x in (n, d, once, times))
+    for k, (kinds, count) in enumerate(((d - 1, once), (d, n - once))):
+        ok = (n > 1) & (count > 0)
+        np.add.at(out[k], _classes(n[ok] - 1, kinds[ok]), (count * times)[ok])
+    return out
+
+
+def escape(stats: np.ndarray, n: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Chance of a byte that a context hasn't seen: how often that was so in its class, method D counting as two cases."""
+    at = _classes(n, d)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return (stats[0][at] + 2 * d / (2 * n)) / (stats[0][at] + stats[1][at] + 2)
+
+
+def mixed(c, n, d, lower, seen_lower, stats):
     """Probability in a context where the symbol was seen c times of n, with d different symbols of lower probability seen_lower."""
+    e = escape(stats, n, d)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(n == 0, lower, np.where(c > 0, (c - 0.5) / n, d / (2 * n) * lower / np.maximum(1 - seen_lower, 1e-12)))
+        return np.where(n == 0, lower, np.where(c > 0, (1 - e) * (c - 0.5) / (n - d / 2), e * lower / np.maximum(1 - seen_lower, 1e-12)))
 
 
 class Low:
@@ -136,27 +169,28 @@ class Low:
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
         rows, of = np.unique(keys >> 8, return_inverse=True)
-        two = np.zeros((len(rows), 256))
+        two = np.zeros((max(1, len(rows)), 256))
         np.add.at(two, (of, keys & 255), counts)
         one = np.zeros((256, 256))
-        np.add.at(one, rows & 255, two)
+        np.add.at(one, rows & 255, two[: len(rows)])
         zero = self._mixed(one.sum(axis=0)[None, :], np.full((1, 256), 1 / 256))
         self.one = self._mixed(one, np.repeat(zero, 256, axis=0))
-        self.two = self._mixed(two, self.one[rows & 255]) if len(rows) else np.zeros((1, 256))
+        self.two = self._mixed(two, self.one[rows & 255] if len(rows) else self.one[:1])
         self.row = np.full(1 << 16, -1)
         self.row[rows] = np.arange(len(rows))
 
     @staticmethod
     def _mixed(counts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        return mixed(counts, counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True), lower, np.where(counts > 0, lower, 0).sum(axis=1, keepdims=True))
+        n, d, once, known = (x.sum(axis=1) for x in (counts, counts > 0, counts == 1, np.where(counts > 0, lower, 0)))
+        return mixed(counts, n[:, None], d[:, None], lower, known[:, None], left_out(n, d, once))
 
     def __call__(self, three: np.ndarray) -> np.ndarray:
         row = self.row[three >> 8]
         return np.where(row >= 0, self.two[row, three & 255], self.one[three >> 8 & 255, three & 255])
 
 
-def code(g: np.ndarray, c: np.ndarray, low: Low) -> np.ndarray:
-    """log10 probability of the last byte of each gram after the others, given whole branches of grams with their counts."""
+def code(g: np.ndarray, c: np.ndarray, low: Low, stats: dict[int, np.ndarray]) -> np.ndarray:
+    """log10 probability of the last byte of each gram after the others, given whole branches of grams with their counts; stats: left_out() of each order."""
     keys, p = None, None
     for order in range(3, ORDER + 1):
         own = g & np.uint64((1 << 8 * (order + 1)) - 1)
@@ -168,22 +202,38 @@ def code(g: np.ndarray, c: np.ndarray, low: Low) -> np.ndarray:
         new = np.concatenate([[True], context[1:] != context[:-1]])
         first, at = np.flatnonzero(new), np.cumsum(new) - 1
         total, kinds, known = (np.add.reduceat(v, first)[at] for v in (n, (n > 0).astype(np.float64), np.where(n > 0, lower, 0.0)))
-        keys, p = now, mixed(n, total, kinds, lower, known)
+        keys, p = now, mixed(n, total, kinds, lower, known, stats[order])
     return np.log10(p[np.searchsorted(keys, g)])
 
 
+def _escapes(counts: DataFrame) -> dict[int, np.ndarray]:
+    """left_out() of orders three and up, over all contexts of counts."""
+    size = lambda x, single: F.when(x <= single, x).otherwise(single + F.length(F.bin(x)))  # noqa: E731  as in _class
+    seen, out = counts.where("c > 0").select("g", "c"), {}
+    for order in range(ORDER, 2, -1):
+        if order < ORDER:
+            seen = seen.groupBy(F.col("g").bitwiseAND((1 << 8 * (order + 1)) - 1).alias("g")).agg(F.sum("c").alias("c"))
+        contexts = seen.groupBy(F.shiftrightunsigned("g", 8).alias("x")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("d"), F.count_if(F.col("c") == 1).alias("once"))
+        by = contexts.where("n > 1").groupBy(size(F.col("n") - 1, 8).alias("n"), size(F.col("d") - 1, 4).alias("less"), size(F.col("d"), 4).alias("d"))
+        out[order] = np.zeros((2, *CLASSES))
+        for r in by.agg(F.sum("once").alias("once"), F.sum(F.col("n") - F.col("once")).alias("rest")).collect():  # a row per pair of classes
+            out[order][0, r.n, r.less] += r.once
+            out[order][1, r.n, r.d] += r.rest
+    return out
+
+
 def model(counts: DataFrame) -> DataFrame:
     """g, n_all and lp, the code length as log10 probability, of every gram of counts."""
     three = F.col("g").bitwiseAND((1 << 24) - 1).alias("three")
     found = counts.where("c > 0").groupBy(three).agg(F.sum("c").cast("double").alias("n")).toArrow()  # at most 2 ** 24 rows
-    low = counts.sparkSession.sparkContext.broadcast(Low(found["three"].to_numpy().astype(np.int64), found["n"].to_numpy()))
+    low = counts.sparkSession.sparkContext.broadcast((Low(found["three"].to_numpy().astype(np.int64), found["n"].to_numpy()), _escapes(counts)))
 
     def score(batches):
         held: list[pa.RecordBatch] = []
 
         def done(parts):
             g, n_all, c = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (1, 2, 3))
-            return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n_all), pa.array(code(g.view(np.uint64), c, low.value))], ["g", "n_all", "lp"])
+            return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n_all), pa.array(code(g.view(np.uint64), c, *low.value))], ["g", "n_all", "lp"])
 
         for batch in batches:
             if not batch.num_rows:

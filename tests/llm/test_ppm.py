@@ -21,7 +21,15 @@ def plain_model(rows):
             for i in range(5, len(s)):
                 for k in range(6):
                     ctx.setdefault(s[i - k : i], Counter())[s[i]] += 1
-    cache = {}
+    cache, cases = {}, {}
+    size = lambda x, single: x if x <= single else single + x.bit_length()
+    kind = lambda before, n, d: (len(before), size(n, 8), size(d, 4))
+    for before, seen in ctx.items():
+        n, d = seen.total(), len(seen)
+        for count in seen.values():
+            if n > 1:  # each of its occurrences is left out in turn
+                new, cls = count == 1, kind(before, n - 1, d - (count == 1))
+                cases.setdefault(cls, [0, 0])[0 if new else 1] += count
 
     def prob(before, symbol):
         if (before, symbol) not in cache:
@@ -29,10 +37,11 @@ def plain_model(rows):
             lower = lambda x: prob(before[1:], x) if before else 1 / 256
             if not seen:
                 out = lower(symbol)
-            elif symbol in seen:
-                out = (2 * seen[symbol] - 1) / (2 * seen.total())
             else:
-                out = len(seen) / (2 * seen.total()) * lower(symbol) / (1 - sum(map(lower, seen)))
+                n, d = seen.total(), len(seen)
+                new, old = cases.get(kind(before, n, d), (0, 0))
+                e = (new + d / n) / (new + old + 2)
+                out = (1 - e) * (seen[symbol] - 0.5) / (n - d / 2) if symbol in seen else e * lower(symbol) / (1 - sum(map(lower, seen)))
             cache[before, symbol] = out
         return cache[before, symbol]
 
@@ -71,10 +80,11 @@ def test_probabilities_add_up():
     low = ppm.Low(np.array([g(b"  a"), g(b" ab"), g(b"ab ")]), np.array([3, 2, 2]))
     for before in (b"  ", b"ab", b"\1\2"):
         assert low(np.array([g(before + bytes([x])) for x in range(256)])).sum() == pytest.approx(1)
+    stats = {k: ppm.left_out(np.array([4, 9, 1]), np.array([2, 3, 1]), np.array([1, 2, 1])) for k in (3, 4, 5)}
     for before in (b"xy ab", b"zy ab", b"qq ab", b"qqqab"):
         keys = sorted({g(before + bytes([x])) for x in range(256)} | {g(b"zy abc"), g(b"ww abd")})
         seen = {g(b"xy ab "): 3, g(b"xy abq"): 1, g(b"zy abc"): 2, g(b"ww abd"): 1, g(b"qqqab!"): 4}
-        p = 10 ** ppm.code(np.array(keys, np.uint64), np.array([seen.get(k, 0) for k in keys]), low)
+        p = 10 ** ppm.code(np.array(keys, np.uint64), np.array([seen.get(k, 0) for k in keys]), low, stats)
         assert p[[keys.index(g(before + bytes([x]))) for x in range(256)]].sum() == pytest.approx(1)
 
 
