@@ -27,10 +27,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     are an aggregation and a join. Links of a node to itself and nulls are ignored.
     """
     links = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
-    links, seen = saved(links, "links"), None
+    links, seen = saved(links, "links", small=True), None
     while True:
         # the small star leaves each node one link to the smallest node it knows of; done once no large star moves any
-        links = saved(_small_star(_large_star(links)), "links")
+        links = saved(_small_star(_large_star(links)), "links", small=True)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

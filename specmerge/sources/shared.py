@@ -40,10 +40,14 @@ def clean(spark: SparkSession) -> int:
     return n
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: lineage ends there, lost executors lose nothing."""
+def saved(df: DataFrame, name: str, *, small: bool = False) -> DataFrame:
+    """Write df to the shared folder and read it again: lineage ends there, lost executors lose nothing.
+
+    small: rows are few for the tasks that make them; they are put in at most two files a core. Each file costs
+    two more processes where a store is a local folder, and a request or more elsewhere.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism) if small else df).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
