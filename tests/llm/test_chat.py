@@ -77,3 +77,31 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, 0, "user", "b")], "conv_id long, turn long, role string, text string")
     plan = chat.format_chats(chat.records_of(df))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_no_length_is_too_long(spark):
+    """A text beyond what JSON parsers take by default, full of characters that JSON escapes; and many turns."""
+    rows = spark.range(2).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit('a"\\\n'), 5_300_000).alias("text"))
+    for m in (chat.MAPPINGS[:1], chat.MAPPINGS[1:2], chat.MAPPINGS[2:3]):
+        out = chat.format_chats(chat.records_of(rows, m)).select("mapping", F.size("turns").alias("n"), F.sha2(chat.loss_text(F.col("segments")), 256).alias("h"), F.length("formatted").alias("f")).first()
+        assert (out.mapping, out.n, out.h) == (m[0].name, 2, hashlib.sha256(b'a"\\\n' * 5_300_000).hexdigest()) and out.f > 42_400_000
+    many = spark.range(300_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("t").alias("text"))
+    assert chat.format_chats(chat.records_of(many, chat.MAPPINGS[:1])).select(F.size("turns")).first()[0] == 300_000
+
+
+def test_skeleton_has_the_same_paths(spark):
+    """Records that differ in texts, lengths and repeated neighbours share a fingerprint; those that differ in paths don't."""
+    alike = [{"a": [{"x": "1"}, {"x": "2", "y": [{"z": 1}, {"z": 1}]}]}, {"a": [{"x": 'q"}, {"\\'}] * 5 + [{"x": ", {", "y": [{"z": 3}]}]}]
+    other = [{"a": [{"x": "1"}, {"x": "2", "y": [{"w": 1}]}]}, {"a": [{"x": "1"}], "y": 1}, {"a": [], "b": [{"x": ""}]}]
+    p = [r.p for r in spark.createDataFrame([(json.dumps(x),) for x in alike + other], "r string").select(chat.fingerprint(F.col("r")).alias("p")).collect()]
+    assert p[0] == p[1] and len(set(p)) == 4 and None not in p
+
+
+def test_conversations_come_in_every_layout(spark):
+    turns = [("user", "q"), ("assistant", "a")]
+    convs = {c: ([("system", "s")] if c % 3 == 0 else []) + (turns if c % 5 else turns * 2) for c in range(200)} | {300: [("human", "h"), ("assistant", "x")], 301: [("user", None), ("assistant", "")]}
+    rows = [(c, t, role, text) for c, x in convs.items() for t, (role, text) in enumerate(x)]
+    records = chat.records_of(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    out = chat.format_chats(records).select("conv_id", "mapping", chat.read_turns(F.col("formatted")).alias("back")).collect()
+    assert all([(t.role, t.text) for t in r.back] == [(a, b or "") for a, b in convs[r.conv_id]] for r in out)
+    assert {r.mapping for r in out} == {m.name for m in chat.MAPPINGS}
