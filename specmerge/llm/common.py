@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import importable, saved, scratch, shared_dir
 
-__all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "bounded_batches", "same_id", "saved", "scratch", "shared_dir", "slices", "table", "words"]
+__all__ = ["ASCII_SPACE", "ASCII_UPPER", "BROADCAST_BYTES", "WORD_SPLIT", "ascii_lower", "bounded_batches", "fresh", "only_ids", "same_id", "saved", "scratch", "shared_dir", "slices", "table", "words"]
 
 #: Fixed value: the white space that separates words and is trimmed from lines.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -62,6 +62,21 @@ def words(col):
     return F.filter(F.split(F.coalesce(col, F.lit("")), WORD_SPLIT), lambda w: w != "")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, or name with as many underscores behind it as it takes to be no column of df, in any case."""
+    names = {c.lower() for c in df.columns}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
+def only_ids(docs: DataFrame, ids: DataFrame, *, keep: bool) -> DataFrame:
+    """The rows of docs whose doc_id, as a number, is in the column doc_id of ids (keep), or those whose isn't; nulls equal."""
+    own = fresh(docs, "__id")
+    ids = ids.select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[own]), "left_semi" if keep else "left_anti")
+
+
 def same_id(left, right):
     """Null-safe equality, so that rows without an id are kept by joins."""
     return left.eqNullSafe(right)

@@ -7,12 +7,15 @@ State, as tables below one folder:
 * ``filters``  one cuckoo filter per shard with the keys that at least ``min_docs`` documents hold.
 
 ``insert`` adds documents and ``delete`` takes them out again; both move only the keys whose count crosses
-``min_docs`` in or out of the filters. ``apply`` probes each line with the filters where the text is read,
-and only lines that pass meet the exact table, so that false positives of the filters drop nothing.
+``min_docs`` in or out of the filters. There are as many shards as keys need, ``SHARD_KEYS`` each, when the filters are built
+anew. ``apply`` probes lines with the filters, and only lines that pass meet the exact table, so that false
+positives of the filters drop nothing. Filters within BROADCAST_BYTES are probed where the text is read; beyond,
+the distinct keys of the lines go to their shard's filter.
 
 Defined cases: a null or empty text is one empty line; a line is dropped in all documents but the largest
 doc_id that holds it; rows that repeat a doc_id count as one document and get the same treatment; a null
-doc_id is a document of its own that holds a line only if no other does. Other columns pass through.
+doc_id is a document of its own that holds a line only if no other does. Other columns pass through; the counts are
+n_lines and n_dropped, with an underscore more where docs has a column of that name.
 Texts of any length are read whole.
 """
 
@@ -27,9 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, BROADCAST_BYTES, bounded_batches, scratch, slices
+from .common import ASCII_SPACE, BROADCAST_BYTES, bounded_batches, fresh, scratch, slices
 from .cuckoo import CuckooFilter
 
+#: Keys of a filter when it is built; it holds twice as many.
+SHARD_KEYS = 1 << 15
 REF = "key binary, doc_id bigint"
 FILTER = "shard int, slots binary, stash binary"
 
@@ -54,13 +59,13 @@ def _shards(keys: list[bytes], shards: int) -> np.ndarray:
 class LineIndex:
     def __init__(self, spark: SparkSession, path: str | None = None, *, shards: int = 64, min_chars: int = 20, min_docs: int = 3):
         self.spark, self.path = spark, path or scratch(spark, "line-index")
-        self.shards, self.min_chars, self.min_docs = shards, min_chars, min_docs
+        self.shards, self.least_shards, self.min_chars, self.min_docs = shards, shards, min_chars, min_docs
         self.refs = self.counts = self.filters = None
         self.version = self.room = 0
         bounded_batches(spark)
 
-    def insert(self, docs: DataFrame) -> LineIndex:
-        refs = self._refs(docs).distinct()
+    def insert(self, docs: DataFrame, text: str = "text") -> LineIndex:
+        refs = self._refs(docs, text).distinct()
         if self.refs is not None:
             refs = refs.join(self.refs, (refs.key == self.refs.key) & refs.doc_id.eqNullSafe(self.refs.doc_id), "left_anti")
         added = self._write("refs", refs)
@@ -85,36 +90,35 @@ class LineIndex:
     def repeated(self) -> DataFrame:
         return self.counts.where(F.col("n_docs") >= self.min_docs)
 
-    def apply(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """docs with the lines to drop gone from text, plus n_lines and n_dropped (lines before, lines dropped)."""
-        docs = docs.drop("n_lines", "n_dropped", "__drop", "__doc")
-        held = self._refs(docs, self._probe()).distinct()
+    def apply(self, docs: DataFrame, text: str = "text", *, counts: bool = True) -> DataFrame:
+        """docs with the lines to drop gone from text, plus, if wanted, n_lines and n_dropped (lines before, lines dropped)."""
+        held = self._passed(docs, text)
         drop = held.join(self.repeated(), "key").where(~F.col("holder").eqNullSafe(F.col("doc_id")))
-        drop = drop.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_set("key").alias("__drop"))
-        rows = docs.join(drop, docs.doc_id.cast("long").eqNullSafe(drop["__doc"]), "left").drop("__doc")
-        schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+        own, gone = fresh(docs, "__doc"), fresh(docs, "__drop")
+        drop = drop.groupBy(F.col("doc_id").alias(own)).agg(F.collect_set("key").alias(gone))
+        rows = docs.join(drop, docs.doc_id.cast("long").eqNullSafe(drop[own]), "left").drop(own)
+        made = [fresh(docs, "n_lines"), fresh(docs, "n_dropped")] if counts else []
+        schema = T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in made)])
         schema[text].nullable = True
-        min_chars = self.min_chars
-
-        names = [f.name for f in schema.fields]
+        min_chars, names = self.min_chars, [f.name for f in schema.fields]
 
         def cut(batches):
             for batch in slices(batches):
                 texts, lines, dropped = [], [], []
-                for whole, gone in zip(batch.column(text).to_pylist(), batch.column("__drop").to_pylist(), strict=True):
+                for whole, keys in zip(batch.column(text).to_pylist(), batch.column(gone).to_pylist(), strict=True):
                     whole = whole or ""
                     n, k = whole.count("\n") + 1, 0
-                    if gone:
-                        gone = set(gone)
-                        keep = [a for a, b in zip(whole.split("\n"), line_keys(whole, min_chars), strict=True) if b not in gone]
+                    if keys:
+                        keys = set(keys)
+                        keep = [a for a, b in zip(whole.split("\n"), line_keys(whole, min_chars), strict=True) if b not in keys]
                         k, whole = n - len(keep), "\n".join(keep)
                     texts.append(whole), lines.append(n), dropped.append(k)
-                made = {text: pa.array(texts, pa.string()), "n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(dropped, pa.int64())}
-                yield pa.RecordBatch.from_arrays([made[n] if n in made else batch.column(n) for n in names], names)
+                new = {text: pa.array(texts, pa.string()), **dict(zip(made, (pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())), strict=False))}
+                yield pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names)
 
         return rows.mapInArrow(cut, schema)
 
-    def _refs(self, docs: DataFrame, probe=None) -> DataFrame:
+    def _refs(self, docs: DataFrame, text: str = "text", probe=None) -> DataFrame:
         min_chars = self.min_chars
 
         def extract(batches):
@@ -129,26 +133,42 @@ class LineIndex:
                     keys, ids = [k for k, y in zip(keys, keep, strict=True) if y], [i for i, y in zip(ids, keep, strict=True) if y]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "doc_id"])
 
-        return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(extract, REF)
+        return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(extract, REF)
 
-    def _probe(self):
-        """Tests lines where they are read, while all filters together are within BROADCAST_BYTES; beyond, every line meets the exact table."""
+    def _passed(self, docs: DataFrame, text: str) -> DataFrame:
+        """Key and doc_id of the lines that a filter holds."""
+        shards = self.shards
         size = self.filters.agg(F.sum(F.length("slots") + F.length("stash"))).first()[0] or 0
-        if size > BROADCAST_BYTES:
-            return None
-        sent = self.spark.sparkContext.broadcast({r.shard: (bytes(r.slots), bytes(r.stash)) for r in self.filters.collect()})
-        shards, opened = self.shards, {}
-
-        def probe(keys: list[bytes]) -> np.ndarray:
-            if not opened:
-                opened.update({k: CuckooFilter.of(*v) for k, v in sent.value.items()})
-            at, hashes, out = _shards(keys, shards), _hashes(keys), np.zeros(len(keys), bool)
-            for shard in np.unique(at):
-                if int(shard) in opened:
-                    out[at == shard] = opened[int(shard)].contains(hashes[at == shard])
-            return out
-
-        return probe
+        if size <= BROADCAST_BYTES:
+            sent, opened = self.spark.sparkContext.broadcast({r.shard: (bytes(r.slots), bytes(r.stash)) for r in self.filters.collect()}), {}
+
+            def probe(keys: list[bytes]) -> np.ndarray:
+                if not opened:
+                    opened.update({k: CuckooFilter.of(*v) for k, v in sent.value.items()})
+                at, hashes, out = _shards(keys, shards), _hashes(keys), np.zeros(len(keys), bool)
+                for shard in np.unique(at):
+                    if int(shard) in opened:
+                        out[at == shard] = opened[int(shard)].contains(hashes[at == shard])
+                return out
+
+            return self._refs(docs, text, probe).distinct()
+
+        def tag(batches):
+            for batch in batches:
+                keys = batch.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array(_shards(keys, shards) if keys else [], pa.int32()), batch.column(0)], ["shard", "key"])
+
+        def look(held, lines):
+            if not len(held):
+                return lines[["key"]].iloc[:0]
+            keys = [bytes(k) for k in lines["key"]]
+            found = CuckooFilter.of(held["slots"].iloc[0], held["stash"].iloc[0]).contains(_hashes(keys)) if keys else np.zeros(0, bool)
+            return lines.loc[found, ["key"]]
+
+        refs = self._write("lines", self._refs(docs, text).distinct())
+        keys = refs.select("key").distinct().mapInArrow(tag, "shard int, key binary")
+        passed = self.filters.groupBy("shard").cogroup(keys.groupBy("shard")).applyInPandas(look, "key binary")
+        return refs.join(passed, "key", "left_semi")
 
     def _advance(self, counts: DataFrame) -> None:
         """Make counts the exact table and move the keys that crossed min_docs in or out of their shard's filter."""
@@ -156,6 +176,7 @@ class LineIndex:
         held = now.count()
         if self.counts is None or held > self.room:  # (re)build: no filter is ever filled beyond what it was made for
             self.room = 2 * held + 1000
+            self.shards = max(self.least_shards, -(-held // SHARD_KEYS))
             moved = now.select("key", F.lit(1).alias("step"))
             filters = self.spark.createDataFrame([], FILTER)
         else:
@@ -189,9 +210,9 @@ class LineIndex:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def dedup_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, shards: int = 64) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, min_chars: int = 20, min_docs: int = 3, shards: int = 64, counts: bool = True) -> DataFrame:
     """Index docs and drop their repeated lines in one go."""
-    return LineIndex(docs.sparkSession, min_chars=min_chars, min_docs=min_docs, shards=shards).insert(docs).apply(docs)
+    return LineIndex(docs.sparkSession, min_chars=min_chars, min_docs=min_docs, shards=shards).insert(docs).apply(docs, counts=counts)
 
 
 __all__ = ["LineIndex", "dedup_lines", "line_keys"]

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -95,3 +96,21 @@ def test_parameters(spark, min_docs):
     rows = [(i, "x" * 30 if i < min_docs else "y" * 30, "", "", 1, "", 1, "") for i in range(2 * min_docs - 1)]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, corpus.SCHEMA), min_docs=min_docs).where("n_dropped = 1").collect()
     assert sorted(r.doc_id for r in got) == list(range(min_docs - 1))
+
+
+def test_clashing_names_and_another_text_column(spark):
+    df = corpus.frame(spark).withColumnsRenamed({"lang": "n_lines", "source": "N_Dropped", "n_chars": "__doc", "key": "__drop", "text": "body"})
+    index = line_dedup.LineIndex(spark).insert(df, "body")
+    out = index.apply(df, "body")
+    assert out.columns == [*df.columns, "n_lines_", "n_dropped_"]
+    assert result(out.select("doc_id", F.col("body").alias("text"), F.col("n_lines_").alias("n_lines"), F.col("n_dropped_").alias("n_dropped"))) == plain(corpus.rows())
+    assert index.apply(df, "body", counts=False).columns == df.columns
+
+
+def test_shards_grow_with_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", 0)
+    index = line_dedup.LineIndex(spark, shards=1, min_docs=1).insert(corpus.frame(spark))
+    assert index.shards == -(-index.counts.count() // 2) and index.filters.count() > 20
+    monkeypatch.undo()
+    assert result(line_dedup.LineIndex(spark, shards=1).insert(corpus.frame(spark)).apply(corpus.frame(spark))) == plain(corpus.rows())
