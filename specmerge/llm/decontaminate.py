@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved
+from .common import BROADCAST_BYTES, only_ids, saved
 
 SHINGLE, SKETCH, FIRST_CLASS = 5, 64, 8
 
@@ -64,7 +64,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("doc_id is not null")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("w")).where("item_id is not null and size(w) > 0")
     items = with_shingles(items).select("item_id", F.array_distinct("g").alias("g")).withColumn("class", _class_of(F.size("g")))
-    items = saved(items, "items")
+    items = saved(items, "items", small=True)
     total = items.agg(F.sum(F.size("g"))).first()[0] or 0
     hint = F.broadcast if 40 * total <= BROADCAST_BYTES else (lambda df: df)  # item, class and hash of each shingle
     # one value of the sketch per row; the classes that occur, a number that grows with the log of the longest item
@@ -81,7 +81,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
         windows = F.transform(starts, _window(u))
         sketches.append(F.struct(F.lit(c).alias("class"), F.array_distinct(F.flatten(windows)).alias("values")))
     values = parsed.select("doc_id", F.explode(F.array(*sketches)).alias("s")).select("doc_id", F.col("s.class").alias("class"), F.explode("s.values").alias("value"))
-    pairs = saved(values.join(hint(keys), ["class", "value"]).select("doc_id", "item_id").distinct(), "candidates")
+    pairs = saved(values.join(hint(keys), ["class", "value"]).select("doc_id", "item_id").distinct(), "candidates", small=True)
 
     found = docs.join((F.broadcast if _fits(pairs, 16) else (lambda df: df))(pairs.select("doc_id").distinct()), "doc_id", "left_semi")
     found = with_shingles(found.select("doc_id", tokens(F.col("text")).alias("w"))).select("doc_id", F.explode(F.array_distinct("g")).alias("value")).distinct()
@@ -94,5 +94,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.75) -> DataFrame:
     """The rows of docs whose document holds no benchmark item."""
-    bad = contaminated(docs, benchmark, threshold=threshold).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    return only_ids(docs, contaminated(docs, benchmark, threshold=threshold), keep=False)

@@ -216,7 +216,7 @@ def templates(pages: DataFrame) -> DataFrame:
     """host and hash of the subtrees to delete."""
     seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(_count, "host string, hash bigint, page bigint")
     counts = seen.distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    counts = saved(counts.where((F.col("n") >= MIN_PAGES) | (F.col("hash") == 0)), "subtrees")
+    counts = saved(counts.where((F.col("n") >= MIN_PAGES) | (F.col("hash") == 0)), "subtrees", small=True)
     total = counts.where("hash = 0").select("host", F.col("n").alias("pages"))
     outside = (F.col("hash") > 0) & ((F.col("n") >= MIN_SHARE * F.col("pages")) | (F.col("n") >= MANY_PAGES))
     inside = (F.col("hash") < 0) & (F.col("n") >= OWN_PAGES) & (F.col("n") >= OWN_SHARE * F.col("pages"))
@@ -226,7 +226,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html)."""
     bounded_batches(pages.sparkSession)
-    found = saved(templates(pages), "templates")
+    found = saved(templates(pages), "templates", small=True)
     rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host_of(F.col("url")).alias("host"))
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars bigint"
     if found.count() * 64 <= BROADCAST_BYTES:

@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, saved, slices
-from .components import components
+from ..operators.graph import components
+from .common import bounded_batches, only_ids, saved, slices
 
 REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE, SMALL = 256, 10, 4, 256, 1_500_000, 128, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -321,7 +321,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(regs, pa.binary())], ["doc_id", "n_shingles", "set_key", "regs"])
 
     sketched = saved(source.mapInArrow(sketch, "doc_id bigint, n_shingles bigint, set_key binary, regs binary"), "sketches")
-    classes = saved(sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")), "classes")
+    classes = saved(sketched.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("size")), "classes", small=True)
     reps = sketched.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi").select("doc_id", "n_shingles", "regs")
 
     buckets = reps.mapInArrow(lambda x: _bands(x, rows, bucket), BAND).repartition("key").sortWithinPartitions("key")
@@ -331,7 +331,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     grouped = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("doc_id"), F.col("root").alias("grp"))
     sizes = grouped.join(classes, grouped.doc_id == classes.rep)
     parts = sizes.groupBy("grp").agg(F.ceil(F.sum("size") / block).cast("int").alias("parts"))
-    grouped = saved(grouped.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")), "groups")
+    grouped = saved(grouped.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")), "groups", small=True)
 
     def sets_of(batches):
         for batch in slices(batches):
@@ -353,5 +353,4 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
 
 def keep_one(docs: DataFrame, *, threshold: float = 0.75) -> DataFrame:
     """The rows of docs whose document stands for its group; rows that repeat its doc_id stay with it."""
-    kept = near_duplicates(docs, threshold=threshold).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return only_ids(docs, near_duplicates(docs, threshold=threshold).where("kept"), keep=True)

@@ -20,7 +20,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, WORD_SPLIT, saved
+from .common import ASCII_SPACE, WORD_SPLIT, only_ids, saved
 
 SYMBOLS = "#*$%&|<>"
 #: The commonest function words of the corpus' four languages.
@@ -151,5 +151,4 @@ def judge(docs: DataFrame, *, rules: tuple[Rule, ...] = RULES, least: float = 0.
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs whose document is kept."""
-    good = judge(docs).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(good, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    return only_ids(docs, judge(docs).where("kept"), keep=True)

@@ -123,3 +123,10 @@ def test_tiny_pairs_are_linked(spark):
         rows += [(2 * i, " ".join(w), "", "", 1, "", 1, ""), (2 * i + 1, " ".join(w[:7]), "", "", 1, "", 1, "")]
     got = result(near_dup.near_duplicates(spark.createDataFrame(rows, corpus.SCHEMA).repartition(4)))
     assert [c for _, _, c in got] == [2 * (i // 2) for i in range(800)]
+
+
+def test_clashing_names_pass_through(spark):
+    df = corpus.frame(spark).withColumnsRenamed({"lang": "__id", "source": "kept", "n_chars": "__ID_", "key": "quality"})
+    want = sorted(r.text or "" for r in near_dup.keep_one(corpus.frame(spark)).collect())
+    out = near_dup.keep_one(df)
+    assert out.columns == df.columns and sorted(r.text or "" for r in out.collect()) == want

@@ -53,3 +53,10 @@ def test_junk_goes_and_prose_stays(spark):
 def test_empty(spark):
     assert q.judge(corpus.empty(spark)).count() == 0
     assert q.keep_good(corpus.empty(spark)).columns == corpus.empty(spark).columns
+
+
+def test_clashing_names_pass_through(spark):
+    df = corpus.frame(spark).withColumnsRenamed({"lang": "__id", "source": "kept", "n_chars": "__ID_", "key": "quality"})
+    want = sorted(r.text or "" for r in q.keep_good(corpus.frame(spark)).collect())
+    out = q.keep_good(df)
+    assert out.columns == df.columns and sorted(r.text or "" for r in out.collect()) == want
