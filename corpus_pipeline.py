@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that at least three of them share, but for the last one that holds the line."""
-    out = dedup_lines(docs).drop("n_lines", "n_dropped")
+    out = dedup_lines(docs, counts=False)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
