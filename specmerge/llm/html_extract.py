@@ -9,7 +9,10 @@ different articles they occur, and deleted if these are ``OWN_PAGES`` and an ``O
 a page whose article would lose more than half of its text by that, a near copy of others, keeps it whole.
 
 Only counts are shuffled, summed per task before; a hot host is spread by subtree. The deleted
-hashes are broadcast if they are within BROADCAST_BYTES, and else joined to the pages by host.
+hashes are broadcast if they are within BROADCAST_BYTES, and else joined to the pages' own subtrees.
+
+Recurrence alone can't give the text where a site's menus and adverts have other words on every page, so names
+and kinds of elements decide besides it.
 
 Defined cases: null html is an empty text; a null or unreadable url is a host of its own, with all others
 of the kind; repeated rows are extracted each; other columns are not read. Unclosed tags, stray end tags
@@ -212,6 +215,15 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(pages, pa.int64())], ["host", "hash", "page"])
 
 
+def _subtrees(batches):
+    """(host, source, hash) of each subtree of pages that can be a template."""
+    for batch in slices(batches):
+        found = [list(set().union(*Page(x).elements())) for x in batch.column(2).to_pylist()]
+        sizes = [len(x) for x in found]
+        at = pa.array([i for i, n in enumerate(sizes) for _ in range(n)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array([x for y in found for x in y], pa.int64())], ["host", "source", "hash"])
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """host and hash of the subtrees to delete."""
     seen = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(_count, "host string, hash bigint, page bigint")
@@ -234,8 +246,11 @@ def extract(pages: DataFrame) -> DataFrame:
         for r in found.collect():
             by_host.setdefault(r.host, set()).add(r.hash)
         sent = pages.sparkSession.sparkContext.broadcast(by_host)
-    else:
-        rows, sent = rows.join(found.groupBy("host").agg(F.collect_list("hash").alias("gone")), "host", "left").select(*rows.columns, "gone"), None
+    else:  # each page's own subtrees meet the templates, so that a hot host is spread by subtree and by page
+        rows, sent = rows.withColumn("source", F.md5(F.coalesce("html", F.lit("")))), None
+        own = rows.select("host", "source", "html").mapInArrow(_subtrees, "host string, source string, hash bigint").distinct()
+        gone = own.join(found, ["host", "hash"]).groupBy("host", "source").agg(F.collect_set("hash").alias("gone"))
+        rows = rows.join(gone, ["host", "source"], "left").select("page_id", "url", "html", "host", "gone")
 
     def main(batches):
         for batch in slices(batches):
