@@ -153,7 +153,7 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), path="source")
 
 
 OP10_SQL = r"""

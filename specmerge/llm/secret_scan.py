@@ -16,6 +16,7 @@ read.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import math
@@ -65,7 +66,7 @@ _CONF_PATH = re.compile(r"\.env|conf|setting|secret|credential|\.ya?ml$|\.ini$|\
 
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """(begin, end, kind) of candidates that don't overlap, in order."""
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order, so that a match is compared with its neighbours alone
     for kind, pattern in _FIND:
         # a key is looked for up to the last end of one, so that every beginning has an end and is read once
         last = max((m.end() for m in _KEY_END.finditer(text)), default=0) if kind == "private_key" else len(text)
@@ -73,9 +74,10 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
             begin, end = m.span("value") if "value" in pattern.groupindex else m.span()
             if kind == "assigned" and not re.search(r"[^A-Za-z]|^[a-z]*+[A-Z]++[a-z]", text[begin:end]):
                 continue
-            if all(end <= a or begin >= b for a, b, _ in taken):
-                taken.append((begin, end, kind))
-    return sorted(taken)
+            at = bisect.bisect(taken, (begin, end))
+            if (not at or taken[at - 1][1] <= begin) and (at == len(taken) or taken[at][0] >= end):
+                taken.insert(at, (begin, end, kind))
+    return taken
 
 
 def _classes(s: str) -> str:
@@ -130,13 +132,15 @@ def labelled_findings(n: int = TRAINING, seed: int = 11) -> list[tuple[str, int,
         lambda: ("version v1.2.3-", "20240101120000-" + pick(hexes, 12), ""), lambda: ("checksum ", pick(hexes, 64), "  file.tar.gz"), lambda: (f"{name()} = ", "os.environ." + words(2, "_"), ""), lambda: ("blob ", pick(hexes, 40), " "),
         lambda: (f"{prose(3)} {name()} ", pick("etaoinshrdlu", rng.randint(8, 14)) + rng.choice([".", ",", ";", "-" + pick("etaoin", 5)]), " " + prose(3)),
     ]
-    paths = {1: [".env", "config/settings.py", "deploy.yaml", "src/app.py", "", "", ""], 0: ["package-lock.json", "go.sum", "tests/test_app.py", "docs/setup.md", "dist/app.min.js", "", "", ""]}
+    # a path makes a label likelier, and each occurs with both
+    paths = [".env", "config/settings.py", "deploy.yaml", "src/app.py", "package-lock.json", "go.sum", "tests/test_app.py", "docs/setup.md", "dist/app.min.js", ""]
+    odds = {1: [3, 3, 3, 3, 1, 1, 1, 1, 1, 8], 0: [1, 1, 1, 3, 3, 3, 2, 2, 2, 8]}
     out = []
     for i in range(n):
         label = i % 2
         before, v, after = rng.choice(good if label else bad)()
         before, after = prose(rng.randint(0, 6)) + " " + before, after + " " + prose(rng.randint(0, 6))
-        out.append((before + v + after, len(before), len(before) + len(v), rng.choice(paths[label]), label))
+        out.append((before + v + after, len(before), len(before) + len(v), rng.choices(paths, odds[label])[0], label))
     return out
 
 

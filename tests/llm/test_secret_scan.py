@@ -1,4 +1,12 @@
+import hashlib
+import re
+import time
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from specmerge.llm import secret_scan as s
 from specmerge.llm.forest import Forest
@@ -92,3 +100,43 @@ def test_values_are_whole_at_any_length():
     for text in hostile:
         s.candidates(text)
     assert time.time() - began < 20
+
+
+def test_scan_equals_each_text_by_itself(spark):
+    """Without the prefilter, batches or tasks: candidates found one pattern after another, and features of each."""
+    texts = corpus.texts() + [t for t, *_ in s.labelled_findings(60, seed=8)] + ["\n".join(t for t, *_ in s.labelled_findings(40, seed=9))]
+    f, want = s.default_forest(), []
+    for i, text in enumerate(texts):
+        taken = []
+        for kind, pattern in s._FIND:
+            for m in pattern.finditer(text):
+                begin, end = m.span("value") if "value" in pattern.groupindex else m.span()
+                plain = kind == "assigned" and not re.search(r"[^A-Za-z]", text[begin:end]) and not re.match(r"[a-z]*[A-Z]+[a-z]", text[begin:end])
+                if not plain and not any(begin < b and a < end for a, b, _ in taken):
+                    taken.append((begin, end, kind))
+        for begin, end, kind in taken:
+            p = f.predict(np.array([s.features(text, begin, end, kind, f"p{i % 3}/.env")]))[0]
+            want.append((i, begin, end - begin, kind, hashlib.sha256(text[begin:end].encode()).hexdigest(), round(p, 9), p >= 0.5))
+    df = spark.createDataFrame([(i, t, f"p{i % 3}/.env") for i, t in enumerate(texts)], "doc_id long, text string, path string").repartition(3)
+    got = [(r.doc_id, r.begin, r.length, r.kind, r.value_sha256, round(r.probability, 9), r.is_secret) for r in s.scan(df, path="path").collect()]
+    assert sorted(got) == sorted(want) and len(want) > 60
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["key", "TOKEN", "pa\u017fswd", "\u212aey", "=", ": ", "\u00a0", "\u3000", "\u2028", "é", "Ω", "sk-", "eyJ", ".", "AKIA", "ghp_", "a1" * 5, "Z" * 9, "0" * 9, "-" * 8, '"', "\n"]), max_size=14).map("".join))
+def test_prefilter_passes_what_has_a_candidate(text):
+    if s.candidates(text):
+        assert pc.match_substring_regex(pa.array([text]), s._MAYBE)[0].as_py()
+
+
+def test_many_candidates_in_one_text():
+    text = "token = 24be64439e3e49cf46b2 " * 40_000
+    began = time.time()
+    assert len(s.candidates(text)) == 40_000 and time.time() - began < 20
+
+
+def test_paths_of_training_tell_no_label():
+    by = {}
+    for _, _, _, path, label in s.labelled_findings(3000):
+        by.setdefault(path, set()).add(label)
+    assert all(v == {0, 1} for v in by.values())
