@@ -13,8 +13,8 @@ Empty buckets take the register of the first filled bucket on a fixed random wal
    shuffle: more are joined on the spot, and one stands for them.
 3. The connected components of these candidates hold every pair that shares a band. Only their documents'
    sets are shuffled, each once. Within a component the registers' estimate, corrected for register
-   collisions, selects pairs, and set intersections over an inverted index confirm them. A component of more than ``BLOCK`` shingles
-   is split in blocks, and each pair of blocks is a task; pairs already connected are not counted again.
+   collisions, selects pairs, and set intersections over an inverted index confirm them. A component of more than ``BLOCK`` shingles,
+   or ``DOCUMENTS`` documents, is split in blocks, and each pair of blocks is a task; pairs already connected are not counted again.
 4. Components of the confirmed links give the result.
 
 A pair at the threshold of 0.75 shares no band with probability 3e-11 and falls below the estimates' margin
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import components
 from .common import bounded_batches, only_ids, saved, slices
 
-REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, SIGNATURE, SMALL = 256, 10, 4, 256, 1_500_000, 128, 64
+REGISTERS, MANTISSA, ROWS, BUCKET, BLOCK, DOCUMENTS, SIGNATURE, SMALL = 256, 10, 4, 256, 1_500_000, 8192, 128, 64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -308,7 +308,7 @@ def _confirm_groups(batches, threshold: float):
         yield done()
 
 
-def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROWS, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROWS, bucket: int = BUCKET, block: int = BLOCK, documents: int = DOCUMENTS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text)."""
     bounded_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -330,7 +330,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = 0.75, rows: int = ROW
     # every document of a candidate component, its set once; blocks of a component by their number of shingles
     grouped = candidates.unionByName(candidates.select(F.col("root").alias("node"), "root").distinct()).select(F.col("node").alias("doc_id"), F.col("root").alias("grp"))
     sizes = grouped.join(classes, grouped.doc_id == classes.rep)
-    parts = sizes.groupBy("grp").agg(F.ceil(F.sum("size") / block).cast("int").alias("parts"))
+    parts = sizes.groupBy("grp").agg(F.ceil(F.greatest(F.sum("size") / block, F.count(F.lit(1)) / documents)).cast("int").alias("parts"))
     grouped = saved(grouped.join(parts, "grp").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")), "groups", small=True)
 
     def sets_of(batches):
