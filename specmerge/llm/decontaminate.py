@@ -13,6 +13,9 @@ Candidates are then confirmed on the whole document: the share of the item's dis
 document holds. Words are runs of letters and digits, lower-cased; a shingle is five words, or the whole
 item if it has fewer.
 
+Most documents hold no value of any sketch; where the sketches are small enough to be sent to all tasks, these
+documents are left out before windows are made, which loses nothing.
+
 All steps are DataFrame expressions. The item sketches, and the candidate documents, are broadcast if they
 are within BROADCAST_BYTES and joined by shuffle if not.
 
@@ -73,8 +76,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: float = 0.
     if not classes:
         return spark.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_found long, containment double")
 
-    parsed = with_shingles(docs.select("doc_id", tokens(F.col("text")).alias("w")).where("size(w) > 0")).select("doc_id", "g")
-    sketches = []
+    shingled = lambda df: with_shingles(df.select("doc_id", tokens(F.col("text")).alias("w"))).select("doc_id", "g")  # noqa: E731  g is null without words
+    reading = docs
+    if 40 * total <= BROADCAST_BYTES:  # a document without a value of any sketch has no window that shares one
+        # explode_outer, as explode would have its array made once more, for a filter
+        some = shingled(docs).select("doc_id", F.explode_outer("g").alias("value")).join(F.broadcast(keys.select("value").distinct()), "value", "left_semi")
+        some = saved(some.select("doc_id").distinct(), "readers", small=True)
+        reading = docs.join((F.broadcast if _fits(some, 16) else (lambda df: df))(some), "doc_id", "left_semi")
+    parsed, sketches = shingled(reading), []
     for c in classes:
         u = FIRST_CLASS << c
         starts = F.sequence(F.lit(1), F.size("g"), F.lit(u))
