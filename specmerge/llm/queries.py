@@ -169,9 +169,53 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id,
 """
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op3's rules and base test count, which SQL can say too."""
+    from .quality_rules import base_failed, features
+
+    out = features(table(spark, sf_dir, "documents")).withColumn("base_failed", base_failed())
+    return out.select("doc_id", "n_lines", "n_words", "word_chars", "n_symbols", "n_exclaims", "n_dup_lines", "n_distinct_words", "n_repeat_words", "base_failed")
+
+
+BASE_COUNTS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), g AS (
+  SELECT doc_id, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+), r AS (
+  SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) >= 2
+), c AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(3) x(k) GROUP BY doc_id)
+SELECT doc_id, len(lines) AS n_lines, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+       length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims,
+       len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(list_distinct(w)) AS n_distinct_words, coalesce(n, 0) AS n_repeat_words,
+       len(w) < 50 OR 100 * coalesce(n, 0) > 50 * len(w) AS base_failed
+FROM d LEFT JOIN c USING (doc_id)
+"""
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op8's counts and base score, with a split of documents that SQL can make."""
+    from .ppm import score_documents
+
+    out = score_documents(table(spark, sf_dir, "documents"), held_out=F.col("doc_id") % 5 == 1)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"), (F.col("score") < 0).alias("scored"))
+
+
+BASE_SCORES_SQL = r"""
+WITH d AS (
+  SELECT doc_id, doc_id % 5 = 1 AS held_out, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), t AS (SELECT doc_id, held_out, unnest(list_append(w, chr(10))) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+m AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM c)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 4) AS base_score, true AS scored
+FROM t LEFT JOIN c USING (w), m GROUP BY doc_id, held_out, n
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op5_secret_scan": op5_secret_scan, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format}
+    return {"op1_line_dedup": op1_line_dedup, "op2_token_blocks": op2_token_blocks, "op5_secret_scan": op5_secret_scan, "op6_packing": op6_packing, "op10_near_dup": op10_near_dup, "op3_quality_rules": op3_quality_rules, "op4_decontaminate": op4_decontaminate, "op7_html_extract": op7_html_extract, "op8_lm_score": op8_lm_score, "op9_chat_format": op9_chat_format, "quality_base_counts": quality_base_counts, "lm_base_scores": lm_base_scores}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op7_html_extract": OP7_SQL, "op9_chat_format": OP9_SQL, "op10_near_dup": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op4_decontaminate": OP4_SQL, "op7_html_extract": OP7_SQL, "op9_chat_format": OP9_SQL, "op10_near_dup": OP10_SQL, "quality_base_counts": BASE_COUNTS_SQL, "lm_base_scores": BASE_SCORES_SQL}
