@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder named by the session; a temporary one only where it names none and all runs on this machine."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("on a cluster, set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="specmerge-")
         spark.sparkContext.setCheckpointDir(at)

@@ -41,11 +41,6 @@ def settled(cached: DataFrame, skipped: DataFrame, min_year: int) -> DataFrame:
     return cached.select("id").union(done).distinct()
 
 
-def union_lists(lists: Sequence[Column]) -> Column:
-    """Distinct items of arrays, in order; a null array has none."""
-    return F.array_distinct(F.flatten(F.array_compact(F.array(*lists))))
-
-
 def merge_sides(
     states: DataFrame,
     scope: Sequence[str],

@@ -10,7 +10,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from specmerge.sources import html, records, sinks
+from specmerge.sources import html, records, shared, sinks
 
 
 def put(path, data):
@@ -143,3 +143,23 @@ def test_latest_or_fallback(spark, tmp_path):
     assert records.read_latest(spark, str(tmp_path / "manifest.json")).first().attrs == {"a": "1"}
     assert records.read_latest(spark, str(tmp_path / "none.json"), fallback=[{"b": "2"}]).first().attrs == {"b": "2"}
     assert records.read_latest(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_no_local_folder_on_a_cluster():
+    class Session:
+        conf = sparkContext = None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    session = Session()
+    session.conf, session.sparkContext = Conf(), Context()
+    with pytest.raises(ValueError):
+        shared.shared_dir(session)
