@@ -158,16 +158,26 @@ class LineIndex:
                 keys = batch.column(0).to_pylist()
                 yield pa.RecordBatch.from_arrays([pa.array(_shards(keys, shards) if keys else [], pa.int32()), batch.column(0)], ["shard", "key"])
 
-        def look(held, lines):
-            if not len(held):
-                return lines[["key"]].iloc[:0]
-            keys = [bytes(k) for k in lines["key"]]
-            found = CuckooFilter.of(held["slots"].iloc[0], held["stash"].iloc[0]).contains(_hashes(keys)) if keys else np.zeros(0, bool)
-            return lines.loc[found, ["key"]]
+        def look(batches):
+            """Keys that their shard's filter holds; a shard's rows are its filter, if it has one, and then its keys, and may go on in the next batch."""
+            shard, opened = None, None
+            for batch in batches:
+                at, late, out = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
+                starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+                for i, end in zip(starts, np.append(starts[1:], len(at)), strict=True):
+                    if at[i] != shard:
+                        shard, opened = int(at[i]), None
+                    if not late[i]:
+                        opened, i = CuckooFilter.of(batch.column(2)[int(i)].as_py(), batch.column(3)[int(i)].as_py()), i + 1
+                    if opened is not None and i < end:
+                        keys = batch.column(4).slice(i, end - i).to_pylist()
+                        out += [k for k, y in zip(keys, opened.contains(_hashes(keys)), strict=True) if y]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["key"])
 
         refs = self._write("lines", self._refs(docs, text).distinct())
-        keys = refs.select("key").distinct().mapInArrow(tag, "shard int, key binary")
-        passed = self.filters.groupBy("shard").cogroup(keys.groupBy("shard")).applyInPandas(look, "key binary")
+        keys = refs.select("key").distinct().mapInArrow(tag, "shard int, key binary").withColumn("late", F.lit(1))
+        rows = self.filters.withColumn("late", F.lit(0)).unionByName(keys, allowMissingColumns=True).select("shard", "late", "slots", "stash", "key")
+        passed = rows.repartition("shard").sortWithinPartitions("shard", "late").mapInArrow(look, "key binary")
         return refs.join(passed, "key", "left_semi")
 
     def _advance(self, counts: DataFrame) -> None:
