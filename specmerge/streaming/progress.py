@@ -64,7 +64,8 @@ def merge_sides(
     """
     special = {side, *scope, *lists, *maps, *totals, *cursor, *moves, *filter(None, (plan, done))}
     others = [c for c in states.columns if c not in special]
-    rows = states.groupBy(*scope).agg(F.sort_array(F.collect_list(F.struct(side, F.struct(*(c for c in states.columns if c not in (*scope, side))).alias("s")))).alias("sides"))
+    nearer = lambda a, b: F.when(a[side] < b[side], -1).when(a[side] > b[side], 1).otherwise(0)  # noqa: E731  maps have no order
+    rows = states.groupBy(*scope).agg(F.array_sort(F.collect_list(F.struct(side, F.struct(*(c for c in states.columns if c not in (*scope, side))).alias("s"))), nearer).alias("sides"))
     each = lambda f: F.transform("sides", lambda x: f(x["s"]))
     out = [F.get(F.array_compact(each(lambda s, c=c: s[c])), F.lit(0)).alias(c) for c in others]
     out += [F.array_distinct(F.flatten(F.array_compact(each(lambda s, c=c: s[c])))).alias(c) for c in lists]
@@ -81,8 +82,8 @@ def merge_sides(
         plans = F.transform(whole, lambda x: x["s"][plan] if plan else F.lit(None))
         follow = (F.size(whole) == 1) | (F.forall(plans, lambda p: p.isNotNull() & (F.size(p) > 0)) & (F.size(F.array_distinct(plans)) == 1)) if plan else F.lit(True)
         out += [F.when(planned, F.when(follow, at[c])).otherwise(F.array_max(each(lambda s, c=c: s[c]))).alias(c) for c in cursor]
-        nearer = lambda c: F.get(F.array_compact(each(lambda s: s[c])), F.lit(0))
-        out += [F.when(planned, F.when(follow, at[c])).otherwise(nearer(c)).alias(c) for c in (*moves, *filter(None, (plan,)))]
+        told = lambda c: F.get(F.array_compact(each(lambda s: s[c])), F.lit(0))
+        out += [F.when(planned, F.when(follow, at[c])).otherwise(told(c)).alias(c) for c in (*moves, *filter(None, (plan,)))]
     if done:
         out.append(F.forall("sides", lambda x: F.coalesce(x["s"][done], F.lit(False))).alias(done))
     return rows.select(*scope, *out)
